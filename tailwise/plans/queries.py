@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ from ..operators import (
     analytics, chainladder, claims, dashboards, diagnostics, metrics, quality, risk, triangle,
 )
 from ..schemas import CLAIM_STATUSES, LOSS_TYPES, REQUIRED_CLAIM_COLUMNS, conform
+from ..session import fresh_path
+from ..sources import files
+from ..streaming import cells as stream_cells
+from ..streaming import ingest
+from . import tables
 from .inputs import AS_OF, SCALE, Inputs, joined_text, shown
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
@@ -1033,3 +1039,132 @@ def conformed_estimates(x: Inputs) -> DataFrame:
     )
     table = conform(labelled, "reserve_estimates").drop("segment")
     return shown_estimates(table, p2=ESTIMATE_MONEY, p6="percent_reported")
+
+
+# --- files and streams -----------------------------------------------------------------------
+
+
+def _raw_claims(x: Inputs) -> DataFrame:
+    timed = x.claims().withColumns(
+        {
+            "created_at": F.col("report_date").cast("timestamp"),
+            "updated_at": F.col("report_date").cast("timestamp"),
+        }
+    )
+    return conform(timed, "claims")
+
+
+def _raw_payments(x: Inputs) -> DataFrame:
+    """Payments in the raw layout; payments without a reserve are refunds (negative amounts)."""
+    amount = F.round("payment_amount", 4)
+    signed = F.when(F.col("reserve_amount") == 0, -amount).otherwise(amount)
+    timed = x.payments().withColumns(
+        {
+            "payment_amount": signed,
+            "reserve_amount": F.round("reserve_amount", 4),
+            "created_at": F.col("payment_date").cast("timestamp"),
+        }
+    )
+    return conform(timed, "payments")
+
+
+def _drop_files(df: DataFrame, folder: str, file_format: str = "csv") -> None:
+    df.write.format(file_format).option("header", "true").mode("append").save(folder)
+
+
+_PAYMENT_OUT = ["payment_id", "claim_id", "payment_date", "payment_type", "payment_amount",
+                "reserve_amount", "payment_status"]
+
+
+@query
+def claims_batch_ingest(x: Inputs) -> DataFrame:
+    folder = fresh_path(x.spark, "claims-csv")
+    _drop_files(_raw_claims(x), folder)
+    return files.ingest_claims_batch(x.spark, folder).select(
+        "claim_id", "policy_id", "loss_date", "report_date", "loss_type", "loss_description",
+        "adjuster_notes", "claim_status", "catastrophe_code",
+        F.to_date("created_at").alias("created_on"), "_ingestion_type",
+    )
+
+
+@query
+def payments_batch_ingest(x: Inputs) -> DataFrame:
+    folder = fresh_path(x.spark, "payments-json")
+    _drop_files(_raw_payments(x), folder, "json")
+    return files.ingest_payments_batch(x.spark, folder, "json").select(*_PAYMENT_OUT)
+
+
+@query
+def payments_quarantine(x: Inputs) -> DataFrame:
+    broken = files.quarantine(_raw_payments(x), files.expectations("payments"))
+    return joined_text(broken, "violated").groupBy("violated", "payment_type").agg(
+        F.count(F.lit(1)).alias("payments")
+    )
+
+
+@query
+def claims_stream_ingest(x: Inputs) -> DataFrame:
+    source, target = fresh_path(x.spark, "stream-in"), fresh_path(x.spark, "stream-out")
+    _drop_files(_raw_claims(x), source)
+    ingest.ingest_streaming(x.spark, "claims", source, target, fresh_path(x.spark, "state"))
+    return x.spark.read.parquet(target).select(
+        "claim_id", "policy_id", "loss_date", "loss_type", "adjuster_notes", "claim_status",
+        "_ingestion_type",
+    )
+
+
+def _two_drops(x: Inputs, after_drop) -> None:
+    """Deliver cleared payments first and pending ones later, running ``after_drop`` after each."""
+    source = fresh_path(x.spark, "stream-in")
+    raw = _raw_payments(x)
+    for status in ("Cleared", "Pending"):
+        _drop_files(raw.filter(F.col("payment_status") == status), source, "parquet")
+        after_drop(source)
+
+
+@query
+def payments_stream_ingest(x: Inputs) -> DataFrame:
+    target, state = fresh_path(x.spark, "stream-out"), fresh_path(x.spark, "state")
+
+    def run(source: str) -> None:
+        ingest.ingest_streaming(x.spark, "payments", source, target, state, "parquet")
+
+    _two_drops(x, run)
+    return x.spark.read.parquet(target).select(*_PAYMENT_OUT)
+
+
+@query
+def streamed_cells(x: Inputs) -> DataFrame:
+    target, state = fresh_path(x.spark, "increments"), fresh_path(x.spark, "state")
+    claims_by_text_id = x.claims().withColumn("claim_id", F.col("claim_id").cast("string"))
+
+    def run(source: str) -> None:
+        stream = ingest.valid_stream(x.spark, "payments", source, "parquet")
+        stream_cells.maintain_cells(stream, claims_by_text_id, target, state).awaitTermination()
+
+    _two_drops(x, run)
+    cells = stream_cells.current_cells(x.spark, target, scale=SCALE)
+    return shown(cells, p4=["incremental_value", "cumulative_value"])
+
+
+@query
+def triangle_store_partition(x: Inputs) -> DataFrame:
+    """Write the triangle partitioned by type and loss type, then read one partition back."""
+    folder = fresh_path(x.spark, "triangles")
+    cells = triangle.label_cells(x.cells(), as_of=AS_OF)
+    files.write_table(cells, folder, "overwrite", ["triangle_type", "loss_type"])
+    stored = x.spark.read.parquet(folder).filter(
+        (F.col("triangle_type") == "paid") & (F.col("loss_type") == "Fire")
+    )
+    return shown(stored, p4=["incremental_value", "cumulative_value"])
+
+
+@query
+def derived_tables(x: Inputs) -> DataFrame:
+    """The full table build: one row per derived table with its number of rows."""
+    built = tables.build_tables(x.claims(places=True), x.payments(), AS_OF, scale=SCALE)
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for name, df in built.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
