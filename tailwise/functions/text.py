@@ -8,10 +8,10 @@ Keywords of several words are confirmed on the text only if all their words occu
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from itertools import groupby
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .vocabulary import Term
@@ -44,31 +44,44 @@ def words_present(lowered: Column, keywords: Iterable[str]) -> Column:
     return F.regexp_extract_all(lowered, F.lit(_any_word_pattern(words)), F.lit(0))
 
 
-def has_phrase(lowered: Column, phrase: str) -> Column:
-    """Whole-word test for one phrase on lower-cased text."""
-    return lowered.rlike(_BEFORE + re.escape(phrase.lower()) + _AFTER)
+def phrases_present(lowered: Column, present: Column, keywords: Iterable[str]) -> Column:
+    """Array with the keywords of several words that occur, NULL for those that do not."""
+    confirmed = []
+    for keyword in keywords:
+        words = words_in(keyword)
+        if words == [keyword.lower()]:
+            continue
+        test = lowered.rlike(_BEFORE + re.escape(keyword.lower()) + _AFTER)
+        for word in words:
+            test = F.array_contains(present, word) & test
+        confirmed.append(F.when(test, F.lit(keyword)))
+    return F.array(*confirmed).cast("array<string>")
+
+
+def with_keywords_found(df: DataFrame, text: Column, keywords: Sequence[str]) -> DataFrame:
+    """Add ``_lowered`` (the text in lower case) and ``_found`` (keywords and words in it)."""
+    lowered, present = F.col("_lowered"), F.col("_present")
+    searched = df.withColumn("_lowered", F.lower(F.coalesce(text, F.lit("")))).withColumn(
+        "_present", words_present(lowered, keywords)
+    )
+    found = F.concat(present, phrases_present(lowered, present, keywords))
+    return searched.withColumn("_found", found).drop("_present")
 
 
-def has_keyword(lowered: Column, present: Column, keyword: str) -> Column:
-    """Whole-word test for a keyword, given the words present in the text."""
-    words = words_in(keyword)
-    test = F.lit(True)
-    for word in words:
-        test = test & F.array_contains(present, word)
-    if words == [keyword.lower()]:
-        return test
-    return test & has_phrase(lowered, keyword)
+def with_results(df: DataFrame, results: Mapping[str, Column]) -> DataFrame:
+    """Add costly results through a one-row generator.
 
+    Spark copies an expression into every filter it pushes below it, but does not push filters
+    below a generator's output: a later filter on a score reads the score instead of searching the
+    text again.
+    """
+    row = F.struct(*[value.alias(name) for name, value in results.items()])
+    return df.select("*", F.inline(F.array(row)))
 
-def has_any_keyword(lowered: Column, present: Column, keywords: Sequence[str]) -> Column:
-    single = [k for k in keywords if words_in(k) == [k.lower()]]
-    found = F.lit(False)
-    if single:
-        found = F.arrays_overlap(present, F.array(*[F.lit(k.lower()) for k in single]))
-    for keyword in keywords:
-        if keyword not in single:
-            found = found | has_keyword(lowered, present, keyword)
-    return found
+
+def listed(keywords: Iterable[str], found: Column) -> Column:
+    """The keywords that were found, each once, in the order of ``keywords``."""
+    return F.array_intersect(F.array(*[F.lit(k) for k in keywords]), found)
 
 
 def has_any_substring(lowered: Column, parts: Iterable[str]) -> Column:
@@ -79,40 +92,55 @@ def has_any_substring(lowered: Column, parts: Iterable[str]) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def matched_keywords(lowered: Column, present: Column, terms: Sequence[Term]) -> Column:
-    """The vocabulary's keywords that occur, each once, in vocabulary order."""
-    phrases = [t.keyword for t in terms if words_in(t.keyword) != [t.keyword.lower()]]
-    confirmed = [F.when(has_keyword(lowered, present, p), F.lit(p)) for p in phrases]
-    found = F.concat(present, F.array(*confirmed)) if phrases else present
-    return F.array_intersect(F.array(*[F.lit(t.keyword) for t in terms]), found)
+def positions_of(matched: Column, terms: Sequence[Term]) -> Column:
+    """Positions of matched keywords in the vocabulary."""
+    keywords = F.array(*[F.lit(t.keyword) for t in terms])
+    return F.transform(matched, lambda k: (F.array_position(keywords, k) - 1).cast("int"))
 
 
-def _attribute(terms: Sequence[Term], field: str, keyword: Column) -> Column:
-    """Attribute of a matched keyword, looked up by its position in the vocabulary."""
-    keywords = F.array(*[F.lit(t.keyword) for t in terms])
-    values = F.array(*[F.lit(getattr(t, field)) for t in terms])
-    return F.get(values, (F.array_position(keywords, keyword) - 1).cast("int"))
+def _lookup(terms: Sequence[Term], field: str, position: Column) -> Column:
+    return F.get(F.array(*[F.lit(getattr(t, field)) for t in terms]), position)
 
 
-def score_of(matched: Column, terms: Sequence[Term]) -> Column:
+def score_of(positions: Column, terms: Sequence[Term]) -> Column:
     """Sum of the matched severities over 3, capped at 1."""
     total = F.aggregate(
-        matched, F.lit(0.0), lambda acc, k: acc + _attribute(terms, "severity", k)
+        positions, F.lit(0.0), lambda acc, p: acc + _lookup(terms, "severity", p)
     )
     return F.least(F.lit(1.0), total / F.lit(3.0))
 
 
-def category_of(matched: Column, terms: Sequence[Term]) -> Column:
+def category_of(positions: Column, terms: Sequence[Term]) -> Column:
     """Category of the most severe match; equal severities go to the category matched first."""
-    categories = F.transform(matched, lambda k: _attribute(terms, "category", k))
+    blocks = [category for category, _ in groupby(terms, key=lambda t: t.category)]
+    if len(blocks) == len(set(blocks)):
+        best = _best_of_blocks(positions, terms, blocks)
+    else:
+        best = _best_of_mixed(positions, terms)
+    return F.coalesce(best, F.lit("low_risk"))
+
+
+def _best_of_blocks(positions: Column, terms: Sequence[Term], blocks: list[str]) -> Column:
+    """Each category is one run of terms, so the order of first matches is the order of runs.
+
+    Severity and run then rank the terms once and for all, and the best match is a maximum.
+    """
+    keys = sorted({(t.severity, -blocks.index(t.category)) for t in terms})
+    ranks = F.array(*[F.lit(keys.index((t.severity, -blocks.index(t.category)))) for t in terms])
+    categories = F.array(*[F.lit(blocks[-block]) for _, block in keys])
+    return F.get(categories, F.array_max(F.transform(positions, lambda p: F.get(ranks, p))))
+
+
+def _best_of_mixed(positions: Column, terms: Sequence[Term]) -> Column:
+    """Terms of a category are scattered: the category's first match decides between equals."""
+    categories = F.transform(positions, lambda p: _lookup(terms, "category", p))
 
-    def candidate(k: Column) -> Column:
-        category = _attribute(terms, "category", k)
+    def candidate(p: Column) -> Column:
+        category = _lookup(terms, "category", p)
         return F.struct(
-            _attribute(terms, "severity", k).alias("severity"),
+            _lookup(terms, "severity", p).alias("severity"),
             (-F.array_position(categories, category)).alias("priority"),
             category.alias("category"),
         )
 
-    best = F.array_max(F.transform(matched, candidate))
-    return F.coalesce(best["category"], F.lit("low_risk"))
+    return F.array_max(F.transform(positions, candidate))["category"]

@@ -40,19 +40,20 @@ def score_text(df: DataFrame, text: Column, terms: Sequence[Term] = DEFAULT_TERM
     or empty text has no keywords, score 0 and category low_risk.
     """
     keywords = [t.keyword for t in terms]
-    lowered, present = F.col("_lowered"), F.col("_present")
     matched = (
-        df.withColumn("_lowered", F.lower(F.coalesce(text, F.lit(""))))
-        .withColumn("_present", words.words_present(lowered, keywords))
-        .withColumn("risk_keywords", words.matched_keywords(lowered, present, terms))
+        words.with_keywords_found(df, text, keywords)
+        .withColumn("_matched", words.listed(keywords, F.col("_found")))
+        .withColumn("_positions", words.positions_of(F.col("_matched"), terms))
     )
-    found = F.col("risk_keywords")
-    return matched.withColumns(
+    positions = F.col("_positions")
+    return words.with_results(
+        matched,
         {
-            "risk_score": words.score_of(found, terms),
-            "risk_category": words.category_of(found, terms),
-        }
-    ).drop("_lowered", "_present")
+            "risk_keywords": F.col("_matched"),
+            "risk_score": words.score_of(positions, terms),
+            "risk_category": words.category_of(positions, terms),
+        },
+    ).drop("_lowered", "_found", "_matched", "_positions")
 
 
 def detect_risks(
@@ -89,7 +90,7 @@ def flag_patterns(claims: DataFrame, text_col: str = "adjuster_notes") -> DataFr
 
 # --- classification by rules -----------------------------------------------------------------
 
-# A classifier gets the lower-cased text and the rule words present in it.
+# A classifier gets the lower-cased text and the rule keywords found in it.
 Classifier = Callable[[Column, Column], Column]
 
 _RULE_WORDS = sorted(
@@ -99,33 +100,34 @@ _RULE_WORDS = sorted(
 )
 
 
-def rule_label(lowered: Column, present: Column) -> Column:
+def rule_label(lowered: Column, found: Column) -> Column:
     """``high_risk`` with a word of severity 0.8 or more, ``medium_risk`` with any, else ``low_risk``."""
-    severe = [t.keyword for t in DEFAULT_TERMS if t.severity >= 0.8]
-    mild = [t.keyword for t in DEFAULT_TERMS if t.severity < 0.8]
+    severe = [F.lit(t.keyword) for t in DEFAULT_TERMS if t.severity >= 0.8]
+    mild = [F.lit(t.keyword) for t in DEFAULT_TERMS if t.severity < 0.8]
     return (
-        F.when(words.has_any_keyword(lowered, present, severe), "high_risk")
-        .when(words.has_any_keyword(lowered, present, mild), "medium_risk")
+        F.when(F.arrays_overlap(F.array(*severe), found), "high_risk")
+        .when(F.arrays_overlap(F.array(*mild), found), "medium_risk")
         .otherwise("low_risk")
     )
 
 
-def rule_sentiment(lowered: Column, present: Column) -> Column:
+def rule_sentiment(lowered: Column, found: Column) -> Column:
     """More negative than positive words: ``negative``; the other way round: ``positive``."""
-
-    def hits(lexicon: Sequence[str]) -> Column:
-        return F.size(F.array_intersect(F.array(*[F.lit(w) for w in lexicon]), present))
-
-    balance = hits(POSITIVE_WORDS) - hits(NEGATIVE_WORDS)
-    return F.when(balance < 0, "negative").when(balance > 0, "positive").otherwise("neutral")
+    negative = F.size(words.listed(NEGATIVE_WORDS, found))
+    positive = F.size(words.listed(POSITIVE_WORDS, found))
+    return (
+        F.when(negative > positive, "negative")
+        .when(negative < positive, "positive")
+        .otherwise("neutral")
+    )
 
 
-def rule_entities(lowered: Column, present: Column) -> Column:
+def rule_entities(lowered: Column, found: Column) -> Column:
     """Struct of the seven entities: the first word that stands for each, NULL if none occurs."""
-    fields = []
-    for entity, lexicon in ENTITY_WORDS.items():
-        found = [F.when(words.has_keyword(lowered, present, w), F.lit(w)) for w in lexicon]
-        fields.append(F.coalesce(*found).alias(entity))
+    fields = [
+        F.get(words.listed(lexicon, found), F.lit(0)).alias(entity)
+        for entity, lexicon in ENTITY_WORDS.items()
+    ]
     return F.struct(*fields)
 
 
@@ -150,18 +152,15 @@ def classify_claims(
     notes, description = F.col("adjuster_notes"), F.col("loss_description")
     blank = F.lit("")
     text = F.concat_ws(" | ", F.coalesce(notes, blank), F.coalesce(description, blank))
-    lowered, present = F.col("_lowered"), F.col("_present")
-    analysed = (
-        claims.filter(notes.isNotNull() | description.isNotNull())
-        .withColumn("_lowered", F.lower(text))
-        .withColumn("_present", words.words_present(lowered, _RULE_WORDS))
-        .withColumns(
-            {
-                "risk_category": label(lowered, present),
-                "extracted_risks": entities(lowered, present),
-                "claim_sentiment": sentiment(lowered, present),
-            }
-        )
+    lowered, found = F.col("_lowered"), F.col("_found")
+    with_text = claims.filter(notes.isNotNull() | description.isNotNull())
+    analysed = words.with_results(
+        words.with_keywords_found(with_text, text, _RULE_WORDS),
+        {
+            "risk_category": label(lowered, found),
+            "extracted_risks": entities(lowered, found),
+            "claim_sentiment": sentiment(lowered, found),
+        },
     )
     negative = F.col("claim_sentiment") == "negative"
     level = F.col("risk_category")
@@ -174,7 +173,7 @@ def classify_claims(
             "risk_keywords": entity_names(F.col("extracted_risks")),
             "_analysis_method": F.lit(method),
         }
-    ).drop("_lowered", "_present")
+    ).drop("_lowered", "_found")
 
 
 # --- summaries -------------------------------------------------------------------------------
@@ -190,7 +189,8 @@ def risk_summary(
 
     ``detail`` selects the extra columns: ``"score"`` the mean score, ``"indicator"`` the mean of
     the flag itself (for pattern flags), ``"classified"`` the mean score plus level and sentiment
-    counts.
+    counts. The last two publish percentages with two decimals (and the mean score with four), as
+    the reports built on them expect; ``"score"`` is left unrounded.
     """
     high = F.col(flag)
     folds = {
@@ -202,7 +202,8 @@ def risk_summary(
     if detail == "indicator":
         folds["avg_risk_indicator"] = F.avg(F.when(high, 1.0).otherwise(0.0))
     elif detail in ("score", "classified"):
-        folds["avg_risk_score"] = F.avg("risk_score")
+        score = F.avg("risk_score")
+        folds["avg_risk_score"] = F.round(score, 4) if detail == "classified" else score
     else:
         raise ValueError(f"unknown detail {detail!r}")
     if detail == "classified":
@@ -212,12 +213,13 @@ def risk_summary(
         for name in ("negative", "positive", "neutral"):
             folds[f"{name}_sentiment_count"] = count_when(mood == name)
     summary = scored.groupBy(*group_by).agg(*[c.alias(name) for name, c in folds.items()])
-    return summary.withColumns(
-        {
-            "high_risk_pct": ratio("high_risk_claims", "total_claims") * 100,
-            "high_risk_incurred_pct": ratio("high_risk_incurred", "total_incurred") * 100,
-        }
-    )
+    shares = {
+        "high_risk_pct": ratio("high_risk_claims", "total_claims") * 100,
+        "high_risk_incurred_pct": ratio("high_risk_incurred", "total_incurred") * 100,
+    }
+    if detail != "score":
+        shares = {name: F.round(share, 2) for name, share in shares.items()}
+    return summary.withColumns(shares)
 
 
 def flag_emerging_risks(

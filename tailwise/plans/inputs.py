@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rounded
-from ..functions.vocabulary import DEFAULT_TERMS
 from ..operators import chainladder, claims, metrics, risk, triangle
 from ..sources import tables
 
@@ -19,20 +18,31 @@ SCALE = 4
 
 
 class Inputs:
-    """Lazy domain tables of one data folder; every method returns a DataFrame plan."""
+    """Lazy domain tables of one data folder; every method returns a DataFrame plan.
+
+    The raw plans are built once, so each file's footer is read once per query.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return tables.table(self.spark, self.sf_dir, name)
+        if name not in self._raw:
+            self._raw[name] = tables.table(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     def claims(self, places: bool = False) -> DataFrame:
-        return tables.claims(self.spark, self.sf_dir, places)
+        return self._placed(tables.claims(self.table), places)
+
+    def _placed(self, mapped: DataFrame, places: bool) -> DataFrame:
+        if places:
+            return tables.with_places(mapped, self.table)
+        return mapped.drop("customer_key")
 
     def payments(self) -> DataFrame:
-        return tables.payments(self.spark, self.sf_dir)
+        return tables.payments(self.table)
 
     def cells(self, segments: Iterable[str] = ("loss_type",), **options) -> DataFrame:
         options.setdefault("scale", SCALE)
@@ -56,11 +66,20 @@ class Inputs:
     def enriched(self, places: bool = False) -> DataFrame:
         return claims.enrich_claims(self.claims(places), self.payments(), scale=SCALE)
 
+    # Texts are analysed where they are scanned: the joins that follow carry the results, and the
+    # text itself only if the query shows it.
+
+    def _with_payments(self, mapped: DataFrame, places: bool) -> DataFrame:
+        return claims.enrich_claims(self._placed(mapped, places), self.payments(), scale=SCALE)
+
     def scored(self, places: bool = False) -> DataFrame:
-        return risk.detect_risks(self.enriched(places), terms=DEFAULT_TERMS)
+        return self._with_payments(risk.detect_risks(tables.claims(self.table)), places)
 
     def classified(self, places: bool = False) -> DataFrame:
-        return risk.classify_claims(self.enriched(places))
+        return self._with_payments(risk.classify_claims(tables.claims(self.table)), places)
+
+    def pattern_flagged(self) -> DataFrame:
+        return self._with_payments(risk.flag_patterns(tables.claims(self.table)), False)
 
     def loading(self) -> DataFrame:
         return chainladder.risk_loading_factor(

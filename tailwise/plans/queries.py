@@ -14,7 +14,7 @@ from ..operators import (
     analytics, chainladder, claims, dashboards, diagnostics, metrics, quality, risk, triangle,
 )
 from ..schemas import CLAIM_STATUSES, LOSS_TYPES, REQUIRED_CLAIM_COLUMNS, conform
-from ..session import fresh_path
+from ..session import fresh_path, small_side
 from ..sources import files
 from ..streaming import cells as stream_cells
 from ..streaming import ingest
@@ -93,12 +93,8 @@ def valid_development_window(x: Inputs) -> DataFrame:
 @query
 def cell_aggregates(x: Inputs) -> DataFrame:
     base = triangle.triangle_base(x.payments(), x.claims(), carry=())
-    parts = [
-        triangle.aggregate_cells(base, "payment_amount", how).withColumn("aggregate", F.lit(how))
-        for how in ("sum", "count", "avg")
-    ]
-    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return shown(stacked.withColumn("cell_value", F.col("cell_value").cast("double")), p4="cell_value")
+    cells = triangle.aggregate_cells(base, "payment_amount", ["sum", "count", "avg"])
+    return shown(cells, p4=["cell_sum", "cell_avg"])
 
 
 @query
@@ -346,7 +342,8 @@ def mack_1993(x: Inputs) -> DataFrame:
 @query
 def reserve_totals_interval(x: Inputs) -> DataFrame:
     totals = chainladder.reserve_totals(chainladder.mack_estimates(x.cells()))
-    return shown(totals, p2=[c for c in totals.columns if c != "loss_type"])
+    projected = [c for c in totals.columns if c not in ("loss_type", "total_paid")]
+    return shown(totals, p4="total_paid", p2=projected)
 
 
 @query
@@ -358,7 +355,7 @@ def predicted_development(x: Inputs) -> DataFrame:
         F.col("total_paid").alias("current_value"),
         periods.development_age("loss_date", F.lit(AS_OF), base=0).alias("current_age"),
     )
-    factors = chainladder.cdf_factors(x.links())
+    factors = small_side(chainladder.cdf_factors(x.links()), "factors")
     scored = chainladder.predict_development(positions, factors)
     return shown(
         scored, p4=["current_value", "projected_ultimate", "projected_ibnr"],
@@ -417,7 +414,9 @@ def triangle_quality(x: Inputs) -> DataFrame:
 @query
 def actual_vs_expected(x: Inputs) -> DataFrame:
     compared = analytics.actual_vs_expected(x.cells())
-    return shown(compared, p2=["actual_value", "expected_value", "residual"], p6="pct_deviation")
+    return shown(
+        compared, p4="actual_value", p2=["expected_value", "residual"], p6="pct_deviation"
+    )
 
 
 @query
@@ -469,8 +468,9 @@ def growth_curve_parameters(x: Inputs) -> DataFrame:
 @query
 def method_comparison(x: Inputs) -> DataFrame:
     compared = analytics.method_comparison(x.estimates())
-    money = [c for c in compared.columns if c not in ("loss_type", "origin_period", "percent_reported")]
-    return shown(compared, p2=money, p6="percent_reported")
+    exact = ("loss_type", "origin_period", "percent_reported", "paid_to_date")
+    money = [c for c in compared.columns if c not in exact]
+    return shown(compared, p2=money, p4="paid_to_date", p6="percent_reported")
 
 
 @query
@@ -602,8 +602,7 @@ def risk_summary_keywords(x: Inputs) -> DataFrame:
 
 @query
 def risk_summary_patterns(x: Inputs) -> DataFrame:
-    flagged = risk.flag_patterns(x.enriched())
-    summary = risk.risk_summary(flagged, flag="high_risk_flag_sql", detail="indicator")
+    summary = risk.risk_summary(x.pattern_flagged(), flag="high_risk_flag_sql", detail="indicator")
     return shown(summary, **_SUMMARY_PLACES, p6="avg_risk_indicator")
 
 
@@ -658,21 +657,25 @@ def portfolio_findings(x: Inputs) -> DataFrame:
 
 # --- summaries and metric views --------------------------------------------------------------
 
-_SUMMARY_MONEY = ["total_paid", "total_ibnr", "total_ultimate", "held_reserves", "reserve_margin"]
+_SUMMARY_MONEY = ["total_ibnr", "total_ultimate", "held_reserves", "reserve_margin"]
 
 
-@query
-def reserve_summary(x: Inputs) -> DataFrame:
+def _shown_summary(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     return shown(
-        x.summary(), p2=_SUMMARY_MONEY, p6=["ai_adjustment_factor", "reserve_adequacy"]
+        df, p4="total_paid", p2=[*_SUMMARY_MONEY, *(extra or [])],
+        p6=["ai_adjustment_factor", "reserve_adequacy"],
     )
 
 
+@query
+def reserve_summary(x: Inputs) -> DataFrame:
+    return _shown_summary(x.summary())
+
+
 @query
 def reserve_summary_held(x: Inputs) -> DataFrame:
     loaded = chainladder.load_for_risk(x.total_estimates(), x.loading())
-    summary = metrics.reserve_summary_held(loaded, AS_OF)
-    return shown(summary, p2=_SUMMARY_MONEY, p6=["ai_adjustment_factor", "reserve_adequacy"])
+    return _shown_summary(metrics.reserve_summary_held(loaded, AS_OF))
 
 
 _VIEW_MONEY = ["estimated_ultimate_loss", "held_reserves", "total_ibnr", "reserve_margin"]
@@ -694,16 +697,19 @@ def reserve_adequacy_recomputed(x: Inputs) -> DataFrame:
 def adequacy_of_held_reserves(x: Inputs) -> DataFrame:
     held = x.enriched().groupBy("loss_type").agg(F.sum("incurred_amount").alias("held_reserves"))
     adequacy = metrics.adequacy_of_held(x.estimates(), held)
-    money = ["held_reserves", "estimated_ultimate", "estimated_ibnr", "reserve_margin"]
-    return shown(adequacy, p2=money, p6="reserve_adequacy")
+    money = ["estimated_ultimate", "estimated_ibnr", "reserve_margin"]
+    return shown(adequacy, p4="held_reserves", p2=money, p6="reserve_adequacy")
+
 
 
-_ORIGIN_MONEY = ["paid_to_date", "projected_ultimate", "estimated_ibnr"]
+
+def _shown_origins(df: DataFrame, **places) -> DataFrame:
+    return shown(df, p4="paid_to_date", p2=["projected_ultimate", "estimated_ibnr"], **places)
 
 
 @query
 def ibnr_by_origin(x: Inputs) -> DataFrame:
-    return shown(metrics.ibnr_by_origin(x.estimates()), p2=_ORIGIN_MONEY)
+    return _shown_origins(metrics.ibnr_by_origin(x.estimates()))
 
 
 @query
@@ -714,11 +720,7 @@ def risk_exposure(x: Inputs) -> DataFrame:
 
 @query
 def executive_dashboard(x: Inputs) -> DataFrame:
-    view = metrics.executive_dashboard(x.summary())
-    return shown(
-        view, p2=[*_SUMMARY_MONEY, "risk_adjusted_ibnr"],
-        p6=["reserve_adequacy", "ai_adjustment_factor"],
-    )
+    return _shown_summary(metrics.executive_dashboard(x.summary()), ["risk_adjusted_ibnr"])
 
 
 @query
@@ -740,7 +742,7 @@ def loss_ratio(x: Inputs) -> DataFrame:
     keys = [F.year("loss_date").alias("origin_period"), "loss_type"]
     premium = mapped.groupBy(*keys).agg(F.sum("o_totalprice").alias("earned_premium"))
     ratios = metrics.loss_ratio(x.enriched(), premium)
-    return shown(ratios, p2=["incurred_loss", "earned_premium"], p6="loss_ratio")
+    return shown(ratios, p4=["incurred_loss", "earned_premium"], p6="loss_ratio")
 
 
 @query
@@ -782,9 +784,7 @@ def adequacy_by_loss_type(x: Inputs) -> DataFrame:
 @query
 def origin_development(x: Inputs) -> DataFrame:
     view = metrics.ibnr_by_origin(x.estimates(), places=None)
-    return shown(
-        dashboards.origin_development(view), p2=_ORIGIN_MONEY, p1="percent_remaining"
-    )
+    return _shown_origins(dashboards.origin_development(view), p1="percent_remaining")
 
 
 @query
@@ -866,7 +866,7 @@ def boardroom(x: Inputs) -> DataFrame:
 @query
 def expectation_scatter(x: Inputs) -> DataFrame:
     scatter = dashboards.expectation_scatter(analytics.actual_vs_expected(x.cells()))
-    return shown(scatter, p2=["expected_value", "actual_value"], p6="pct_deviation")
+    return shown(scatter, p4="actual_value", p2="expected_value", p6="pct_deviation")
 
 
 @query
@@ -920,7 +920,7 @@ def total_ibnr(x: Inputs) -> DataFrame:
 def segment_reserve_totals(x: Inputs) -> DataFrame:
     totals = dashboards.segment_reserve_totals(chainladder.with_grand_total(x.estimates()))
     return shown(
-        totals, p2=["total_paid", "total_ibnr", "total_ultimate"], p6="avg_percent_developed"
+        totals, p4="total_paid", p2=["total_ibnr", "total_ultimate"], p6="avg_percent_developed"
     )
 
 
@@ -958,7 +958,7 @@ def segment_origin_estimate(x: Inputs) -> DataFrame:
         (F.col("loss_type") == "Water Damage") & (F.col("origin_period") == 1998)
     )
     view = metrics.ibnr_by_origin(chosen)
-    return shown(view, p2=_ORIGIN_MONEY)
+    return _shown_origins(view)
 
 
 @query

@@ -6,6 +6,8 @@ carry no adjuster notes, so Spark derives a note and a description for every ord
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,16 +64,15 @@ def _mapped(column: str, mapping: dict[str, str]) -> Column:
     return expr
 
 
-def claims(spark: SparkSession, sf_dir: str, places: bool = False) -> DataFrame:
-    """Orders as claims; ``places=True`` adds county and state through the customer.
+def claims(read: Callable[[str], DataFrame]) -> DataFrame:
+    """Orders as claims, with ``customer_key`` for :func:`with_places`.
 
-    The place joins are left to Spark: nation and region are small enough by their own file size
-    for a broadcast, the customer side is shuffled when it is not.
+    ``read`` returns a raw table by name.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = read("orders")
     key = F.col("o_orderkey")
     loss_date = F.to_date("o_orderdate")
-    mapped = orders.select(
+    return orders.select(
         key.alias("claim_id"),
         F.concat(F.lit("POL-"), F.col("o_custkey").cast("string")).alias("policy_id"),
         loss_date.alias("loss_date"),
@@ -84,28 +85,34 @@ def claims(spark: SparkSession, sf_dir: str, places: bool = False) -> DataFrame:
         F.when(
             key % 7 == 0, F.concat(F.lit("CAT-"), F.year(loss_date).cast("string"))
         ).alias("catastrophe_code"),
-        "o_custkey",
+        F.col("o_custkey").alias("customer_key"),
     )
-    if not places:
-        return mapped.drop("o_custkey")
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+
+
+def with_places(claims: DataFrame, read: Callable[[str], DataFrame]) -> DataFrame:
+    """Add county and state through the customer.
+
+    The joins are left to Spark: nation and region are small enough by their own file size for a
+    broadcast, the customer side is shuffled when it is not.
+    """
+    nations = read("nation").join(
+        read("region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = (
-        table(spark, sf_dir, "customer")
+        read("customer")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            F.col("c_custkey").alias("o_custkey"),
+            F.col("c_custkey").alias("customer_key"),
             F.col("n_name").alias("county"),
             F.col("r_name").alias("state"),
         )
     )
-    return mapped.join(customers, "o_custkey", "left").drop("o_custkey")
+    return claims.join(customers, "customer_key", "left").drop("customer_key")
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(read: Callable[[str], DataFrame]) -> DataFrame:
     """Line items as payments: net price paid on the ship date, price × tax as case reserve."""
-    items = table(spark, sf_dir, "lineitem")
+    items = read("lineitem")
     price = F.col("l_extendedprice")
     return items.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payment_id"),
