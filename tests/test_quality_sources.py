@@ -140,3 +140,10 @@ def test_orphans(spark):
     payments = fixtures.payments(spark)
     claims = fixtures.claims(spark).filter("claim_id <> 'C19-2'")
     assert [r.payment_amount for r in quality.orphan_payments(payments, claims).collect()] == [8000.0]
+
+
+def test_shared_folder_is_the_configured_one(spark):
+    from tailwise import session
+
+    assert session.shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert session.fresh_path(spark, "a") != session.fresh_path(spark, "a")
