@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+# Folders made for sessions in local mode, by application; the setting itself is read-only.
+_private_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder (``spark.checkpoint.dir``).
 
@@ -23,9 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="tailwise-")
-        context.setCheckpointDir(configured)
-        spark.conf.set("spark.checkpoint.dir", configured)
+        if context.applicationId not in _private_folders:
+            _private_folders[context.applicationId] = tempfile.mkdtemp(prefix="tailwise-")
+            context.setCheckpointDir(_private_folders[context.applicationId])
+        configured = _private_folders[context.applicationId]
     return configured.rstrip("/")
 
 
