@@ -12,7 +12,8 @@ that stays. Two rounds keep hot texts apart from single tasks:
    order, a subtree left behind can never receive another string: it is dropped at once and its
    owners have been written out. Memory holds the path to the newest string, whatever the group.
 
-The texts of representatives alone in their length and hash are not moved a second time.
+The texts of representatives move once, to be joined with the lengths and hashes that occur again; those
+alone in their length and hash go no further.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html
+from . import bpe, exact, html, mix, quality, urls
 from .common import read_table
 
 
@@ -16,6 +16,25 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+WEIGHTS = (5, 2, 1)
+MAX_EPOCHS = 3
+
+# The filter list, as given.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of all documents takes of each."""
+    taken = mix.mix(read_table(spark, sf_dir, "documents"), WEIGHTS, MAX_EPOCHS)
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "repeats", "part_words")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and their way back."""
     return bpe.digests(read_table(spark, sf_dir, "documents"), spark, vocabulary_path())
@@ -32,8 +51,32 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdict of every document; its source is the host."""
+    judged = quality.assess(read_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_left"
+    )
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL.
+
+    A page's outcome is the quality label of the document that its URL names by number.
+    """
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract("url", r"/([0-9]{1,18})(?:[^0-9]|$)", 1)
+    numbered = pages.select(urls.host_of(F.col("url")).alias("host"), F.when(number != "", number).cast("long").alias("doc_id"))
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("bad"))
+    outcomes = numbered.join(labels, "doc_id").select("host", "bad")
+    return urls.judge(pages, URL_RULES, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
+    "op1_mix": op1_mix,
     "op2_bpe": op2_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
+    "op10_urls": op10_urls,
 }
