@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,3 +58,17 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, memoryview]:
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     return offsets, memoryview(data) if data is not None else memoryview(b"")
+
+
+def bounded_sample(rows: DataFrame, stratum: str, per_stratum: int, seed: int, id_col: str = "doc_id") -> DataFrame:
+    """At most ``per_stratum`` rows of every stratum, the first in a seeded order of identifiers.
+
+    Rows are thinned by their drawn number before they are ranked, so a window sees about twice the
+    bound however large a stratum is; if the thinning leaves too few (small strata are not thinned), the
+    sample is smaller by a few rows.
+    """
+    counts = rows.groupBy(stratum).agg(F.count("*").alias("_n"))
+    thin = rows.withColumn("_u", drawn(F.col(id_col), seed)).join(counts, stratum)
+    thin = thin.filter(F.col("_u") * F.col("_n") < 2.0 * per_stratum + 50)
+    order = Window.partitionBy(stratum).orderBy("_u", id_col)
+    return thin.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_stratum).drop("_u", "_n", "_rank")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html, mix, quality, urls
-from .common import read_table
+from . import bpe, exact, html, language, mix, quality, toxicity, urls
+from .common import fold, read_table
 
 
 def vocabulary_path() -> str:
@@ -40,6 +40,28 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), spark, vocabulary_path())
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a quarter of the identifiers is held out of the learning."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out & F.col("doc_id").isNotNull())
+    texts = docs.select("doc_id", "text").filter(~held_out)
+    model = toxicity.fit(texts.join(labels, "doc_id"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a fifth of the identifiers is held out of the learning."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = language.fit(docs.filter(~held_out))
+    guessed = language.predict(docs.select("doc_id", "text"), model)
+    return guessed.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owner and size of every document's group of equal texts."""
     return exact.exact_duplicates(read_table(spark, sf_dir, "documents"))
@@ -75,6 +97,8 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_bpe": op2_bpe,
+    "op4_toxicity": op4_toxicity,
+    "op5_language": op5_language,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
