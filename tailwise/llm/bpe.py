@@ -4,13 +4,14 @@ A text is cut at the vocabulary's special tokens, then into pieces by the publis
 The merges of a piece run on a segment tree whose leaves are the ranks of adjacent pairs, joined
 with their places: the root is the leftmost lowest-rank merge, and a merge changes three leaves, each
 in logarithmic time, so a piece of n bytes takes O(n log n) however long it is. Pieces repeat, so each
-task keeps a bounded table of those already encoded.
+worker keeps a bounded table of those already encoded.
 
 No text crosses tasks: encoding and decoding are maps over Arrow batches without a shuffle.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import struct
 import unicodedata
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 # Fixed value: the published split pattern of the vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-CACHED_PIECES = 200_000  # pieces remembered by a task
+CACHED_PIECES = 300_000  # pieces remembered by a worker, and as many from before
 CACHED_LENGTH = 48  # longest piece remembered, in characters
 CHUNK = 65_536  # pieces of a text handled at a time
 NEVER = 1 << 62
@@ -119,19 +120,24 @@ class Vocabulary:
 
 
 class Pieces(dict):
-    """Piece to its packed token numbers, bounded."""
+    """Piece to its packed token numbers, bounded: when the table is full it becomes the older one."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.vocabulary.encode_piece(piece.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[piece] = packed
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.vocabulary.encode_piece(piece.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(piece) > CACHED_LENGTH:
+                return packed
+        if len(self) >= CACHED_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = packed
         return packed
 
 
@@ -180,6 +186,12 @@ class Encoder:
         return b"".join(made)
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(vocabulary: str) -> Encoder:
+    """The worker's encoder; it outlives a task, and so do the pieces it remembers."""
+    return Encoder(Vocabulary(vocabulary))
+
+
 def read_vocabulary(path: str) -> str:
     """The content of a tokenizer file (some MB, the same for every input)."""
     with open(path, encoding="utf-8") as f:
@@ -201,7 +213,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     schema = rows.drop(text_col).withColumn(ids_col, F.lit(b"")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(shared.value))
+        encoder = encoder_of(shared.value)
         for batch in batches:
             packed = pa.array((encoder.encode(t.as_py()) for t in batch.column(len(kept))), pa.large_binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed.cast(pa.binary())], names=[*kept, ids_col])
