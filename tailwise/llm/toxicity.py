@@ -32,9 +32,9 @@ from .common import bounded_sample
 PER_LABEL = 8_000  # sampled texts of each label
 MARKS = 2_000  # marks of each direction
 BEYOND_CHANCE = 30.0  # log-likelihood ratio of a mark
-PRECISE = 0.7  # share of toxic texts among those with a lexicon mark
+PRECISE = 0.9  # share of toxic texts among those with a lexicon mark
 GROUPS = 8  # lexicons a kind of mark is dealt into
-BEGINNINGS = (3, 4, 5, 6)
+BEGINNINGS = (4, 5, 6)
 ROUNDS = 40
 THRESHOLD = 0.3
 
@@ -199,7 +199,8 @@ def fit(labelled: DataFrame, per_label: int = PER_LABEL, seed: int = 4) -> bytes
     toxic, other = best(F.col("toxic")), best(~F.col("toxic"))
 
     kind = lambda mark: len(mark) - 1 if mark.endswith("*") else 0
-    precise = [r["mark"] for r in toxic if r["a"] >= PRECISE * (r["a"] + r["b"] * n_toxic / max(1, n_other))]
+    odds = (1 - prior) * n_toxic / (prior * max(1, n_other))  # undoes the sampling by label
+    precise = [r["mark"] for r in toxic if r["a"] >= PRECISE * (r["a"] + r["b"] * odds)]
     kinds = sorted({kind(m) for m in precise})
     lexicon = {m: kinds.index(kind(m)) * GROUPS + place % GROUPS for place, m in enumerate(precise)}
     voters = Voters(lexicon, {r["mark"] for r in other if not r["mark"].endswith("*")})
