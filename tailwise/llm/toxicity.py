@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample
+from .common import WORD, bounded_sample, one_row_barrier
 
 PER_LABEL = 8_000  # sampled texts of each label
 MARKS = 2_000  # marks of each direction
@@ -171,6 +171,17 @@ def _logistic(rows: list[np.ndarray], dense: np.ndarray, goal: np.ndarray, weigh
     return theta
 
 
+def one_of_copies(sample: DataFrame) -> DataFrame:
+    """One row per label and smallest hash of three words, so that copies do not count as evidence again."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))
+    rows = one_row_barrier(sample, _words=words)
+    places = F.sequence(F.lit(1), F.size("_words") - 2)
+    least = F.array_min(F.transform(places, lambda i: F.xxhash64(F.slice("_words", i, 3))))
+    keyed = rows.withColumn("_key", F.when(F.size("_words") > 2, least).otherwise(F.xxhash64("text"))).drop("_words")
+    kept = keyed.groupBy("_key", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("_row"))
+    return kept.select("_row.doc_id", "_row.text", "toxic")
+
+
 def fit(labelled: DataFrame, per_label: int = PER_LABEL, seed: int = 4) -> bytes:
     """A classifier from (doc_id, text, toxic) rows; rows with a null label are left out.
 
@@ -184,7 +195,8 @@ def fit(labelled: DataFrame, per_label: int = PER_LABEL, seed: int = 4) -> bytes
     ids = bounded_sample(rows.select("doc_id", "toxic"), "toxic", per_label, seed).distinct()
     # At most per_label rows of each label: small by that bound.
     sample = rows.join(F.broadcast(ids), ["doc_id", "toxic"], "left_semi")
-    sample = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic")).repartition(12, "doc_id").persist()
+    sample = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic"))
+    sample = one_of_copies(sample).repartition(12, "doc_id").persist()
     taken = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_other = taken.get(1, 0), taken.get(0, 0)
 
@@ -204,7 +216,7 @@ def fit(labelled: DataFrame, per_label: int = PER_LABEL, seed: int = 4) -> bytes
     kinds = sorted({kind(m) for m in precise})
     lexicon = {m: kinds.index(kind(m)) * GROUPS + place % GROUPS for place, m in enumerate(precise)}
     voters = Voters(lexicon, {r["mark"] for r in other if not r["mark"].endswith("*")})
-    index = {r["mark"]: n for n, r in enumerate([*toxic, *other])}
+    index = {mark: n for n, mark in enumerate([*precise, *(r["mark"] for r in other)])}
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
