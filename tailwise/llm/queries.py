@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html, language, mix, quality, toxicity, urls
+from . import bpe, exact, html, language, mix, near, quality, toxicity, urls
 from .common import fold, read_table
 
 
@@ -40,6 +40,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), spark, vocabulary_path())
 
 
+def op3_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates and number of links of every document."""
+    return near.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; a quarter of the identifiers is held out of the learning."""
     docs = read_table(spark, sf_dir, "documents")
@@ -97,6 +102,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_bpe": op2_bpe,
+    "op3_near_join": op3_near_join,
     "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
     "op7_exact_dedup": op7_exact_dedup,
