@@ -7,7 +7,7 @@ rate, with the prior's uncertainty. A page is blocked if even the lower posterio
 bad rate is above a limit.
 
 Counts combine map-side, so a host may hold any share of the pages; the per-level totals that give the
-prior strengths are one row. Hosts are joined back to pages by Spark's choice of join (with skewed
+prior strengths are one row, and the per-level tables are written, so that no plan repeats another. Hosts are joined back to pages by Spark's choice of join (with skewed
 partitions split).
 """
 
@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEVELS = ("suffix", "domain", "host")
 # Bounds of the estimated correlation of outcomes within a group; strength = 1 / rho - 1.
@@ -73,11 +75,13 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     """
     hosts = outcomes.filter(F.col("bad").isNotNull()).groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("n_bad"))
     hosts = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    hosts = materialise(hosts, "url-hosts")
     prior = hosts.agg((F.coalesce(F.sum("n_bad"), F.lit(0)) + 1).alias("b"), (F.coalesce(F.sum("n"), F.lit(0)) + 2).alias("a"))
     table = hosts.crossJoin(prior.select((F.col("b") / F.col("a")).alias("all_rate")))  # one row
     parent = "all"
     for level in LEVELS:
         groups = table.groupBy(level, f"{parent}_rate").agg(F.sum("n").alias("_n"), F.sum("n_bad").alias("_bad"))
+        groups = materialise(groups, f"url-{level}")
         rate, n = F.col(f"{parent}_rate"), F.col("_n")
         chance = rate * (1 - rate) * n
         moments = groups.agg(
@@ -92,7 +96,7 @@ def reputation(outcomes: DataFrame) -> DataFrame:
             (n + F.col("_strength")).alias(f"{level}_weight"),
             F.col("_strength").alias(f"{level}_strength"),
         )
-        table = table.join(shrunk, level)
+        table = materialise(table.join(shrunk, level), f"url-rated-{level}")
         parent = level
     return table
 
