@@ -1,23 +1,68 @@
-"""Preparation of a training corpus in stages, each written and read again by the next."""
+"""Preparation of a training corpus in stages, each written and read again by the next.
+
+Language identification, exact copies, near copies, mixing of sources, tokens. Every stage takes all rows
+that the one before kept; all but the last return the columns they are given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tailwise.llm import exact
-from tailwise.llm.common import read_table
+from tailwise.llm import bpe, exact, language, mix, near
+from tailwise.llm.common import fold, read_table
+from tailwise.llm.queries import MAX_EPOCHS, WEIGHTS, vocabulary_path
 from tailwise.session import materialise
 
+# A text whose best language has less than this share of the score belongs to none that was learned.
+LEAST_LANGUAGE_SCORE = 0.35
+
 # SQL cannot train the language classifier of the first stage.
 ORACLE_SQL = None
 
 
-def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language learned from the labelled ones; texts without a letter go."""
+    model = language.fit(docs.filter(fold(F.col("doc_id"), 5) != 0).select("doc_id", "text", "lang"))
+    others = [c for c in docs.columns if c != "text"]
+    guessed = language.predict(docs.select(F.struct(*others).alias("others"), "text"), model)
+    kept = guessed.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select(*[F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns])
+
+
+def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest identifier stays."""
     return exact.without_duplicates(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies)]
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return near.one_of_each(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them."""
+    return mix.mixed_documents(docs, WEIGHTS, MAX_EPOCHS)
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token numbers of every document, and whether they decode to its text."""
+    vocabulary = bpe.read_vocabulary(vocabulary_path())
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", "lang", "source", "n_chars", text.alias("text"), text.alias("copy"))
+    done = bpe.decode(bpe.encode(rows, vocabulary, text_col="copy"), vocabulary)
+    return done.select(
+        "doc_id", "lang", "source", "n_chars", bpe.n_tokens(F.col("ids")).alias("n_tokens"), "ids", (F.col("decoded") == F.col("text")).alias("round_trip")
+    )
+
+
+STAGES = [
+    ("language", known_language),
+    ("exact copies", no_exact_copies),
+    ("near copies", no_near_copies),
+    ("mix", mixed),
+    ("tokens", tokenised),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,7 +68,8 @@ def bounded_sample(rows: DataFrame, stratum: str, per_stratum: int, seed: int, i
     sample is smaller by a few rows.
     """
     counts = rows.groupBy(stratum).agg(F.count("*").alias("_n"))
-    thin = rows.withColumn("_u", drawn(F.col(id_col), seed)).join(counts, stratum)
+    # One row per class of a classifier.
+    thin = rows.withColumn("_u", drawn(F.col(id_col), seed)).join(F.broadcast(counts), stratum)
     thin = thin.filter(F.col("_u") * F.col("_n") < 2.0 * per_stratum + 50)
     order = Window.partitionBy(stratum).orderBy("_u", id_col)
     return thin.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_stratum).drop("_u", "_n", "_rank")

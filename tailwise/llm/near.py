@@ -410,11 +410,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, trees: int
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows whose identifier names their class: one document of each class stays.
+    """The rows whose identifier names their class: one document of each class stays, with all columns.
 
-    Identifiers should be unique; rows that repeat the identifier of a kept row with the same text are
-    copies and only one of them stays.
+    Identifiers must be unique within equal texts: rows that repeat both stay or go together (take
+    exact copies out first).
     """
     found = near_duplicates(docs)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html, language, mix, near, quality, toxicity, urls
+from . import bpe, exact, html, language, lm, mix, near, quality, toxicity, urls
 from .common import fold, read_table
 
 
@@ -67,6 +67,13 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guessed.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and unigram score of every document; a seventh of the identifiers is held out of the learning."""
+    docs = read_table(spark, sf_dir, "documents")
+    scored = lm.score(docs.select("doc_id", "text", (fold(F.col("doc_id"), 7) == 2).alias("held_out")))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owner and size of every document's group of equal texts."""
     return exact.exact_duplicates(read_table(spark, sf_dir, "documents"))
@@ -105,6 +112,7 @@ QUERIES = {
     "op3_near_join": op3_near_join,
     "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
+    "op6_lm": op6_lm,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
