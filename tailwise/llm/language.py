@@ -198,7 +198,8 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) ->
         model = Model.fit([r[2] for r in rows], [r[1] for r in rows])
         yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], names=["model"])
 
-    return texts.repartition(1).mapInArrow(train, "model binary").collect()[0]["model"]
+    fitted = texts.repartition(1).mapInArrow(train, "model binary").collect()
+    return fitted[0]["model"] if fitted else Model.fit([], []).dump()
 
 
 def predict(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:

@@ -117,10 +117,14 @@ class LabelModel:
     def __init__(self, votes: np.ndarray, weights: np.ndarray, prior: float):
         n, m = votes.shape
         self.prior = prior
-        self.sharing = np.ones(m)
         self.correlation = np.eye(m)
+        # Voters that always vote alike are one voter from the start.
+        deviation = np.maximum(votes.std(axis=0), 1e-9)
+        centred = (votes - votes.mean(axis=0)) / deviation
+        alike = np.maximum(centred.T @ centred / max(1, n) > 0.95, np.eye(m, dtype=bool))
+        self.sharing = 1.0 / alike.sum(axis=1)
         hot = np.stack([(votes == v).astype(np.float64) for v in (-1, 0, 1)], axis=2)
-        lean = votes.sum(1)
+        lean = votes @ self.sharing
         posterior = np.where(lean > 0, 0.9, np.where(lean < 0, 0.02, prior))
         for step in range(ROUNDS):
             self.table = np.empty((2, m, 3))
