@@ -40,7 +40,9 @@ def _any_word_pattern(words: Iterable[str]) -> str:
 
 def words_present(lowered: Column, keywords: Iterable[str]) -> Column:
     """Array of the words of ``keywords`` that occur in the lower-cased text, in text order."""
-    words = [w for keyword in keywords for w in words_in(keyword)]
+    words = [w for keyword in keywords for w in words_in(keyword.lower())]
+    if not words:
+        return F.array().cast("array<string>")
     return F.regexp_extract_all(lowered, F.lit(_any_word_pattern(words)), F.lit(0))
 
 
@@ -48,8 +50,10 @@ def phrases_present(lowered: Column, present: Column, keywords: Iterable[str]) -
     """Array with the keywords of several words that occur, NULL for those that do not."""
     confirmed = []
     for keyword in keywords:
-        words = words_in(keyword)
+        words = words_in(keyword.lower())
         if words == [keyword.lower()]:
+            if keyword != keyword.lower():
+                confirmed.append(F.when(F.array_contains(present, keyword.lower()), F.lit(keyword)))
             continue
         test = lowered.rlike(_BEFORE + re.escape(keyword.lower()) + _AFTER)
         for word in words:

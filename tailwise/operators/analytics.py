@@ -27,7 +27,10 @@ TAIL_SCENARIOS = (
 def actual_vs_expected(
     cells: DataFrame, by: Sequence[str] = SEGMENT, tolerance: float = 0.15
 ) -> DataFrame:
-    """Each value against the previous value × the factor of the age before."""
+    """Each value against the value one age before × the factor of that age.
+
+    Where the age before is a hole in the triangle nothing is expected, and the row is left out.
+    """
     by_age = Window.partitionBy(*by).orderBy("development_period").rangeBetween(-1, -1)
     origin = Window.partitionBy(*by, "origin_period").orderBy("development_period")
     expected, actual = F.col("expected_value"), F.col("actual_value")
@@ -36,9 +39,10 @@ def actual_vs_expected(
         "origin_period",
         "development_period",
         F.col("cumulative_value").alias("actual_value"),
-        (F.lag("cumulative_value").over(origin) * F.max("ata_factor").over(by_age)).alias(
-            "expected_value"
-        ),
+        F.when(
+            F.lag("development_period").over(origin) == F.col("development_period") - 1,
+            F.lag("cumulative_value").over(origin) * F.max("ata_factor").over(by_age),
+        ).alias("expected_value"),
     )
     deviation = F.try_divide(actual - expected, expected)
     unusual = F.coalesce(F.abs(deviation) > tolerance, F.lit(False))

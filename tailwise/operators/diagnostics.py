@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import count_when
 from .chainladder import SEGMENT, link_ratios
 
 
+def full_cells(rows: Column, columns: Column) -> Column:
+    """Cells of a full triangle: row i of J columns has J - i cells, and none from row J on."""
+    filled = F.least(rows, columns)
+    return filled * columns - F.floor(filled * (filled - 1) / 2)
+
+
 def completeness(cells: DataFrame, by: Sequence[str] = SEGMENT) -> DataFrame:
     """Observed cells against the cells a full triangle of this shape would have."""
     shape = cells.groupBy(*by).agg(
@@ -19,9 +25,7 @@ def completeness(cells: DataFrame, by: Sequence[str] = SEGMENT) -> DataFrame:
         F.count("cumulative_value").alias("actual_cells"),
     )
     rows, columns = F.col("n_origins"), F.col("n_development_periods")
-    # Row i (from 0) of a triangle with J columns has J - i cells, negative once i exceeds J:
-    # the sum over n rows is n·J - n(n-1)/2.
-    expected = rows * columns - F.floor(rows * (rows - 1) / 2)
+    expected = full_cells(rows, columns)
     return shape.withColumn("expected_cells", expected.cast("long")).withColumn(
         "completeness_pct", F.try_divide(F.col("actual_cells"), F.col("expected_cells")) * 100.0
     )
@@ -121,7 +125,7 @@ def triangle_quality(
         F.count("cumulative_value").alias("actual_cells"),
     )
     rows, columns = F.col("n_origins"), F.col("n_ages")
-    expected = rows * columns - F.floor(rows * (rows - 1) / 2)
+    expected = full_cells(rows, columns)
     complete = F.try_divide(F.col("actual_cells"), expected) * 100.0
     scored = folded.withColumn("completeness_pct", complete)
     issues = (

@@ -126,8 +126,12 @@ def reserve_adequacy_recomputed(summary: DataFrame) -> DataFrame:
 
 
 def adequacy_of_held(estimates: DataFrame, held: DataFrame, by: str = "loss_type") -> DataFrame:
-    """Adequacy of given held amounts (``by, held_reserves``) against fitted ultimates."""
-    totals = _totals(estimates, (by,)).join(held, by)
+    """Adequacy of given held amounts (``by, held_reserves``) against fitted ultimates.
+
+    A segment with an ultimate and nothing held stays, with 0 held.
+    """
+    totals = _totals(estimates, (by,)).join(held.select(by, "held_reserves"), by, "left")
+    totals = totals.withColumn("held_reserves", F.coalesce("held_reserves", F.lit(0.0)))
     ultimate, amount = F.col("total_ultimate"), F.col("held_reserves")
     adequacy = F.when(ultimate > 0, F.try_divide(amount, ultimate)).otherwise(F.lit(1.0))
     return totals.select(

@@ -124,7 +124,7 @@ def quality_summary(checks: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def enforce(report: DataFrame) -> None:
-    """Strict mode: raise if any row of a check report failed. Reads the small report only."""
-    failed = report.filter(~F.col("passed")).take(5)
+    """Strict mode: raise with every failed row of a check report (one row per column or rule)."""
+    failed = report.filter(~F.col("passed")).collect()
     if failed:
         raise QualityError("; ".join(str(row.asDict()) for row in failed))

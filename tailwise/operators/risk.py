@@ -90,7 +90,7 @@ def flag_patterns(claims: DataFrame, text_col: str = "adjuster_notes") -> DataFr
 
 # --- classification by rules -----------------------------------------------------------------
 
-# A classifier gets the lower-cased text and the rule keywords found in it.
+# A classifier gets the text as it was written and the rule keywords found in it.
 Classifier = Callable[[Column, Column], Column]
 
 _RULE_WORDS = sorted(
@@ -100,7 +100,7 @@ _RULE_WORDS = sorted(
 )
 
 
-def rule_label(lowered: Column, found: Column) -> Column:
+def rule_label(text: Column, found: Column) -> Column:
     """``high_risk`` with a word of severity 0.8 or more, ``medium_risk`` with any, else ``low_risk``."""
     severe = [F.lit(t.keyword) for t in DEFAULT_TERMS if t.severity >= 0.8]
     mild = [F.lit(t.keyword) for t in DEFAULT_TERMS if t.severity < 0.8]
@@ -111,7 +111,7 @@ def rule_label(lowered: Column, found: Column) -> Column:
     )
 
 
-def rule_sentiment(lowered: Column, found: Column) -> Column:
+def rule_sentiment(text: Column, found: Column) -> Column:
     """More negative than positive words: ``negative``; the other way round: ``positive``."""
     negative = F.size(words.listed(NEGATIVE_WORDS, found))
     positive = F.size(words.listed(POSITIVE_WORDS, found))
@@ -122,7 +122,7 @@ def rule_sentiment(lowered: Column, found: Column) -> Column:
     )
 
 
-def rule_entities(lowered: Column, found: Column) -> Column:
+def rule_entities(text: Column, found: Column) -> Column:
     """Struct of the seven entities: the first word that stands for each, NULL if none occurs."""
     fields = [
         F.get(words.listed(lexicon, found), F.lit(0)).alias(entity)
@@ -152,14 +152,14 @@ def classify_claims(
     notes, description = F.col("adjuster_notes"), F.col("loss_description")
     blank = F.lit("")
     text = F.concat_ws(" | ", F.coalesce(notes, blank), F.coalesce(description, blank))
-    lowered, found = F.col("_lowered"), F.col("_found")
+    found = F.col("_found")
     with_text = claims.filter(notes.isNotNull() | description.isNotNull())
     analysed = words.with_results(
         words.with_keywords_found(with_text, text, _RULE_WORDS),
         {
-            "risk_category": label(lowered, found),
-            "extracted_risks": entities(lowered, found),
-            "claim_sentiment": sentiment(lowered, found),
+            "risk_category": label(text, found),
+            "extracted_risks": entities(text, found),
+            "claim_sentiment": sentiment(text, found),
         },
     )
     negative = F.col("claim_sentiment") == "negative"

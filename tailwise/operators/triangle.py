@@ -51,6 +51,25 @@ def filter_valid_development(df: DataFrame, max_periods: int = 10, base: int = 0
     return df.filter(F.col("development_period").between(base, base + max_periods - 1))
 
 
+def _limited(df: DataFrame, max_periods: int | None, base: int) -> DataFrame:
+    """All ages, or the first ``max_periods`` of them where a caller asks for a limit."""
+    return df if max_periods is None else filter_valid_development(df, max_periods, base)
+
+
+def payments_outside_window(base: DataFrame, max_periods: int, dev_base: int = 0) -> DataFrame:
+    """Number and amount of payments per age that a limit of ``max_periods`` leaves out."""
+    outside = base.filter(~F.col("development_period").between(dev_base, dev_base + max_periods - 1))
+    return outside.groupBy("development_period").agg(
+        F.count(F.lit(1)).alias("payment_count"), F.sum("payment_amount").alias("payment_amount")
+    )
+
+
+def ages_of(cells: DataFrame, dev_base: int = 0, at_least: int = 0) -> range:
+    """Ages from ``dev_base`` to the last one in the cells (one aggregated row comes to the driver)."""
+    last = cells.agg(F.max("development_period")).first()[0]
+    return range(dev_base, max(dev_base - 1 if last is None else last, dev_base + at_least - 1) + 1)
+
+
 def running_total(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -177,7 +196,7 @@ def paid_cells(
     claims: DataFrame,
     segments: Sequence[str] = (),
     grain: str = "year",
-    max_periods: int = 10,
+    max_periods: int | None = None,
     dev_base: int = 0,
     as_of: dt.date | None = None,
     scale: int | None = None,
@@ -185,24 +204,27 @@ def paid_cells(
 ) -> DataFrame:
     """Incremental (X) and cumulative (C) paid cells with the number of claims paid in each.
 
+    All ages are kept unless ``max_periods`` asks for a limit; ``payments_outside_window`` tells what a
+    limit leaves out.
+
     ``scale`` rounds each cell sum to that many decimals. Money has a fixed number of decimals,
     so this removes the dependence of floating sums on task order and makes reruns identical.
     """
     ages = claim_ages(payments, claims, segments, grain, dev_base, as_of, fold_days)
-    return _cells(filter_valid_development(ages, max_periods, dev_base), segments, scale)
+    return _cells(_limited(ages, max_periods, dev_base), segments, scale)
 
 
 def triangle_cells(
     base: DataFrame,
     segments: Sequence[str] = (),
-    max_periods: int = 10,
+    max_periods: int | None = None,
     dev_base: int = 0,
     scale: int | None = None,
 ) -> DataFrame:
     """The same cells from an existing :func:`triangle_base`."""
     keys = ["claim_id", "origin_period", "development_period", *segments]
     claim_level = base.groupBy(*keys).agg(F.sum("payment_amount").alias("payment_amount"))
-    return _cells(filter_valid_development(claim_level, max_periods, dev_base), segments, scale)
+    return _cells(_limited(claim_level, max_periods, dev_base), segments, scale)
 
 
 def label_cells(
@@ -227,7 +249,7 @@ def incurred_cells(
     claims: DataFrame,
     segments: Sequence[str] = (),
     grain: str = "year",
-    max_periods: int = 10,
+    max_periods: int | None = None,
     dev_base: int = 0,
     mode: str = "max",
     as_of: dt.date | None = None,
@@ -248,7 +270,7 @@ def incurred_cells(
         "payment_date",
         (F.col("paid_to_date") + F.coalesce("reserve_amount", F.lit(0.0))).alias("incurred"),
     )
-    base = filter_valid_development(
+    base = _limited(
         triangle_base(incurred, claims, grain, dev_base, carry=segments), max_periods, dev_base
     )
     cell = [*segments, "origin_period", "development_period"]
@@ -269,7 +291,7 @@ def densify(
     as_of: dt.date,
     segments: Sequence[str] = (),
     grain: str = "year",
-    max_periods: int = 10,
+    max_periods: int | None = None,
 ) -> DataFrame:
     """Fill holes with zero increments up to each origin's observed age (0-based cells).
 
@@ -285,7 +307,8 @@ def densify(
         ).alias("seen"),
         F.max("development_period").alias("last_paid"),
     )
-    until = F.greatest("last_paid", F.least(last_seen, F.lit(max_periods - 1)))
+    shown = last_seen if max_periods is None else F.least(last_seen, F.lit(max_periods - 1))
+    until = F.greatest("last_paid", shown)
     grid = by_origin.select(
         *origin_keys, "seen", F.explode(F.sequence(F.lit(0), until)).alias("development_period")
     )
@@ -319,13 +342,19 @@ def triangle_wide(
     )
 
 
+def _columns(cells: DataFrame, max_periods: int | None, dev_base: int) -> range:
+    if max_periods is None:
+        return ages_of(cells, dev_base)
+    return range(dev_base, dev_base + max_periods)
+
+
 def paid_triangle(
     payments: DataFrame,
     claims: DataFrame,
     loss_type: str | None = None,
     state: str | None = None,
     grain: str = "year",
-    max_periods: int = 10,
+    max_periods: int | None = None,
     dev_base: int = 0,
     as_of: dt.date | None = None,
     scale: int | None = None,
@@ -333,7 +362,7 @@ def paid_triangle(
     """Wide cumulative paid triangle for one segment at the chosen grain and valuation date."""
     chosen = segment_filter(claims, loss_type, state)
     cells = paid_cells(payments, chosen, (), grain, max_periods, dev_base, as_of, scale)
-    return triangle_wide(cells, range(dev_base, dev_base + max_periods))
+    return triangle_wide(cells, _columns(cells, max_periods, dev_base))
 
 
 def incurred_triangle(
@@ -341,7 +370,7 @@ def incurred_triangle(
     claims: DataFrame,
     loss_type: str | None = None,
     grain: str = "year",
-    max_periods: int = 10,
+    max_periods: int | None = None,
     dev_base: int = 0,
     mode: str = "max",
     as_of: dt.date | None = None,
@@ -352,7 +381,7 @@ def incurred_triangle(
     cells = incurred_cells(
         payments, chosen, (), grain, max_periods, dev_base, mode, as_of, scale
     )
-    return triangle_wide(cells, range(dev_base, dev_base + max_periods), value="incurred_value")
+    return triangle_wide(cells, _columns(cells, max_periods, dev_base), value="incurred_value")
 
 
 def wide_to_long(wide: DataFrame, segments: Sequence[str] = ()) -> DataFrame:

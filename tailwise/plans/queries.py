@@ -14,7 +14,7 @@ from ..operators import (
     analytics, chainladder, claims, dashboards, diagnostics, metrics, quality, risk, triangle,
 )
 from ..schemas import CLAIM_STATUSES, LOSS_TYPES, REQUIRED_CLAIM_COLUMNS, conform
-from ..session import fresh_path, small_side
+from ..session import fresh_path
 from ..sources import files
 from ..streaming import cells as stream_cells
 from ..streaming import ingest
@@ -41,6 +41,10 @@ def bound(name: str) -> Callable[[SparkSession, str], DataFrame]:
 # Sums of payments are exact to four decimals; projected amounts are shown in cents.
 ESTIMATE_MONEY = ["ultimate_loss", "ibnr"]
 
+# Columns of the published yearly layout, and all quarters an origin since 1992 can show at the end of 1999.
+LAYOUT_AGES = 10
+QUARTERS = 32
+
 
 def shown_estimates(df: DataFrame, **places) -> DataFrame:
     return shown(shown(df, p4="latest_cumulative"), **places)
@@ -172,11 +176,51 @@ def _wide(df: DataFrame) -> DataFrame:
     return shown(df, p4=[c for c in df.columns if c.startswith("dev_")])
 
 
+@query
+def payments_outside_window(x: Inputs) -> DataFrame:
+    """What a limit of three months of development would leave out, per later age."""
+    base = triangle.triangle_base(x.payments(), x.claims(), grain="month")
+    return shown(triangle.payments_outside_window(base, 3), p4="payment_amount")
+
+
+@query
+def triangle_monthly(x: Inputs) -> DataFrame:
+    """Monthly cells of every age."""
+    cells = x.cells(grain="month")
+    return shown(cells, p4=["incremental_value", "cumulative_value"])
+
+
+@query
+def triangle_quality_quarterly(x: Inputs) -> DataFrame:
+    """Completeness where origins outnumber ages."""
+    return shown(diagnostics.completeness(x.cells(grain="quarter")), p6="completeness_pct")
+
+
+@query
+def expected_values_with_holes(x: Inputs) -> DataFrame:
+    """Actual against expected over small segments, whose triangles have holes."""
+    segments = ["loss_type", "claim_status", "state"]
+    placed = x.claims(places=True)
+    cells = triangle.paid_cells(x.payments(), placed, segments, grain="month", scale=SCALE)
+    compared = analytics.actual_vs_expected(cells, segments)
+    return shown(compared, p4="actual_value", p2=["expected_value", "residual"]).drop("pct_deviation")
+
+
+@query
+def adequacy_without_held(x: Inputs) -> DataFrame:
+    """Adequacy where one loss type has no held amount at all."""
+    held = x.enriched().filter(F.col("loss_type") != "Fire")
+    held = held.groupBy("loss_type").agg(F.sum("incurred_amount").alias("held_reserves"))
+    adequacy = metrics.adequacy_of_held(x.estimates(), held)
+    money = ["estimated_ultimate", "estimated_ibnr", "reserve_margin"]
+    return shown(adequacy, p4="held_reserves", p2=money, p6="reserve_adequacy")
+
+
 @query
 def paid_triangle_quarterly(x: Inputs) -> DataFrame:
     return _wide(
         triangle.paid_triangle(
-            x.payments(), x.claims(), loss_type="Fire", grain="quarter", max_periods=12,
+            x.payments(), x.claims(), loss_type="Fire", grain="quarter", max_periods=QUARTERS,
             as_of=AS_OF.replace(year=1999), scale=SCALE,
         )
     )
@@ -187,7 +231,7 @@ def paid_triangle_state(x: Inputs) -> DataFrame:
     return _wide(
         triangle.paid_triangle(
             x.payments(), x.claims(places=True), loss_type="Wind", state="ASIA", dev_base=1,
-            scale=SCALE,
+            max_periods=LAYOUT_AGES, scale=SCALE,
         )
     )
 
@@ -195,14 +239,14 @@ def paid_triangle_state(x: Inputs) -> DataFrame:
 @query
 def incurred_triangle(x: Inputs) -> DataFrame:
     return _wide(
-        triangle.incurred_triangle(x.payments(), x.claims(), loss_type="Theft", scale=SCALE)
+        triangle.incurred_triangle(x.payments(), x.claims(), loss_type="Theft", max_periods=LAYOUT_AGES, scale=SCALE)
     )
 
 
 @query
 def incurred_triangle_latest(x: Inputs) -> DataFrame:
     return _wide(
-        triangle.incurred_triangle(x.payments(), x.claims(), mode="latest", scale=SCALE)
+        triangle.incurred_triangle(x.payments(), x.claims(), mode="latest", max_periods=LAYOUT_AGES, scale=SCALE)
     )
 
 
@@ -355,7 +399,7 @@ def predicted_development(x: Inputs) -> DataFrame:
         F.col("total_paid").alias("current_value"),
         periods.development_age("loss_date", F.lit(AS_OF), base=0).alias("current_age"),
     )
-    factors = small_side(chainladder.cdf_factors(x.links()), "factors")
+    factors = chainladder.cdf_factors(x.links())
     scored = chainladder.predict_development(positions, factors)
     return shown(
         scored, p4=["current_value", "projected_ultimate", "projected_ibnr"],
@@ -1014,9 +1058,10 @@ def domain_check(x: Inputs) -> DataFrame:
 def orphan_payments(x: Inputs) -> DataFrame:
     """Payments of claims that were closed before the valuation date are orphans of the open book."""
     open_claims = x.claims().filter(F.col("claim_status") != "Closed")
-    orphans = quality.orphan_payments(x.payments(), open_claims)
+    folded = x.payments().groupBy("claim_id", "payment_type").agg(F.count(F.lit(1)).alias("n"))
+    orphans = quality.orphan_payments(folded, open_claims)
     return orphans.groupBy("payment_type").agg(
-        F.count(F.lit(1)).alias("payments"), F.count_distinct("claim_id").alias("claims")
+        F.sum("n").alias("payments"), F.count(F.lit(1)).alias("claims")
     )
 
 
@@ -1140,10 +1185,10 @@ def streamed_cells(x: Inputs) -> DataFrame:
 
     def run(source: str) -> None:
         stream = ingest.valid_stream(x.spark, "payments", source, "parquet")
-        stream_cells.maintain_cells(stream, claims_by_text_id, target, state).awaitTermination()
+        stream_cells.maintain_cells(stream, target, state).awaitTermination()
 
     _two_drops(x, run)
-    cells = stream_cells.current_cells(x.spark, target, scale=SCALE)
+    cells = stream_cells.current_cells(x.spark, target, claims_by_text_id, scale=SCALE)
     return shown(cells, p4=["incremental_value", "cumulative_value"])
 
 

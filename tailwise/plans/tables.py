@@ -34,7 +34,7 @@ def build_tables(
     payments: DataFrame,
     as_of: dt.date,
     tail: float = 1.0,
-    max_periods: int = 10,
+    max_periods: int | None = None,
     scale: int | None = None,
 ) -> dict[str, DataFrame]:
     """Silver and gold tables by name."""
@@ -54,7 +54,7 @@ def build_tables(
     tables["triangle_base"] = triangle.triangle_base(payments, claims, as_of=as_of)
     tables["triangle_by_loss_type"] = triangle.label_cells(by_type, as_of=as_of)
     tables["triangle_cells"] = triangle.label_cells(pooled, as_of=as_of)
-    tables["triangle_pivot"] = triangle.triangle_wide(pooled, range(max_periods))
+    tables["triangle_pivot"] = triangle.triangle_wide(pooled, triangle.ages_of(pooled, at_least=10))
 
     tables["claims_with_payments"] = with_payments
     tables["claims_basic_risk"] = risk.flag_patterns(with_payments)

@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows up to which a stored table may be sent to every executor.
-BROADCAST_ROWS = 100_000
 
 
 # Folders made for sessions in local mode, by application; the setting itself is read-only.
@@ -49,13 +45,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A table for the small side of a join: broadcast if its measured size allows it.
-
-    The table is written once and counted; above ``max_rows`` it comes back without a hint and
-    Spark joins it by shuffling.
-    """
-    stored = materialise(df, name)
-    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored

@@ -7,10 +7,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import contract, text_schema, typed
 
 TEXT_FORMATS = ("csv", "json")
+# Quoted values may hold line breaks and doubled quotes; a header is checked against the columns.
+# Such files cannot be split, so large inputs should come as many files.
+TEXT_OPTIONS = {
+    "csv": {"header": "true", "enforceSchema": "false", "multiLine": "true", "escape": '"'},
+    "json": {},
+}
 
 
 def expectations(table: str) -> dict[str, Column]:
@@ -62,18 +69,38 @@ def with_ingest_metadata(df: DataFrame, ingestion_type: str | None = None) -> Da
     return df.withColumns(extra)
 
 
+def written_schema(spark: SparkSession, table: str, path: str, file_format: str) -> T.StructType:
+    """All columns as text, for CSV in the order of the header of the files already there."""
+    texts = text_schema(contract(table))
+    if file_format != "csv":
+        return texts
+    names = spark.read.options(**TEXT_OPTIONS["csv"]).csv(path).columns
+    missing = set(texts.names) - set(names)
+    if names and missing:
+        raise ValueError(f"{table}: the header at {path} lacks {sorted(missing)}")
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names or texts.names])
+
+
 def read_raw(spark: SparkSession, table: str, path: str, file_format: str = "csv") -> DataFrame:
-    """Rows of a raw table with the contract's types; unparsable values become NULL.
+    """Rows of a raw table; text formats give strings, to be cast by :func:`typed`.
 
-    Text formats are read as strings and cast, so a bad value costs a value, not the file.
+    So a bad value costs a value, not the file. CSV columns are found by the header's names, in any
+    order.
     """
-    schema = contract(table)
-    reader = spark.read.format(file_format)
     if file_format in TEXT_FORMATS:
-        raw = reader.option("header", "true").schema(text_schema(schema)).load(path)
-    else:
-        raw = reader.schema(schema).load(path)
-    return raw
+        reader = spark.read.format(file_format).options(**TEXT_OPTIONS[file_format])
+        return reader.schema(written_schema(spark, table, path, file_format)).load(path)
+    return spark.read.format(file_format).schema(contract(table)).load(path)
+
+
+def parse_failures(raw: DataFrame, table: str) -> DataFrame:
+    """The rows of a text table with a value that does not parse, with those columns' names."""
+    schema = contract(table)
+    failed = [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in schema
+    ]
+    return raw.withColumn("unparsed", F.array_compact(F.array(*failed))).filter(F.size("unparsed") > 0)
 
 
 def ingest_claims_batch(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:

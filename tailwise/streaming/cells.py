@@ -1,8 +1,9 @@
 """Keeping triangle cells current while payments stream in.
 
-The cells of a batch are additive, so each batch appends its increments per cell under its batch
-number; the current triangle is the sum over batches. A replayed batch overwrites its own folder,
-which makes the sink idempotent without any state.
+Payments per claim and day are additive, so each batch appends its own sums under its batch number,
+without looking at the claims: a payment may arrive before its claim. The current triangle joins the
+sums of all batches with the claims known when it is asked for. A replayed batch overwrites its own
+folder, which makes the sink idempotent without any state; closed batches can be folded into one.
 """
 
 from __future__ import annotations
@@ -13,26 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.triangle import claim_ages, filter_valid_development, running_total
+from ..operators.triangle import paid_cells
 
 
-def batch_increments(
-    payments: DataFrame, claims: DataFrame, segments: Sequence[str], max_periods: int = 10
-) -> DataFrame:
-    """Amount per claim and age of one batch: the finest grain at which batches add up."""
-    ages = claim_ages(payments, claims, segments)
-    return filter_valid_development(ages, max_periods)
+def batch_increments(payments: DataFrame) -> DataFrame:
+    """Amount per claim and payment date of one batch: the finest grain at which batches add up."""
+    return payments.groupBy("claim_id", "payment_date").agg(
+        F.sum("payment_amount").alias("payment_amount")
+    )
 
 
-def maintain_cells(
-    stream: DataFrame, claims: DataFrame, target: str, checkpoint: str,
-    segments: Sequence[str] = ("loss_type",), max_periods: int = 10,
-) -> StreamingQuery:
-    """Write each micro-batch's increments below ``target/batch=<id>`` and stop at the end."""
+def maintain_cells(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Write each micro-batch's claim-days below ``target/batch=<id>`` and stop at the end."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        increments = batch_increments(batch, claims, segments, max_periods)
-        increments.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        batch_increments(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -42,21 +38,15 @@ def maintain_cells(
     )
 
 
+def compact(spark: SparkSession, target: str, into: str) -> None:
+    """Fold the batches below ``target`` into one new folder that stands in for all of them."""
+    batch_increments(spark.read.parquet(target)).write.mode("errorifexists").parquet(f"{into}/batch=-1")
+
+
 def current_cells(
-    spark: SparkSession, target: str, segments: Sequence[str] = ("loss_type",),
+    spark: SparkSession, target: str, claims: DataFrame, segments: Sequence[str] = ("loss_type",),
     scale: int | None = None,
 ) -> DataFrame:
-    """Cells as of the last batch."""
-    keys = [*segments, "origin_period", "development_period"]
-    claim_level = spark.read.parquet(target).groupBy("claim_id", *keys).agg(
-        F.sum("payment_amount").alias("payment_amount")
-    )
-    amount = F.sum("payment_amount")
-    if scale is not None:
-        amount = F.round(amount, scale)
-    cells = claim_level.groupBy(*keys).agg(
-        amount.alias("incremental_value"), F.count(F.lit(1)).alias("claim_count")
-    )
-    return running_total(
-        cells, [*segments, "origin_period"], "development_period", "incremental_value"
-    )
+    """Cells of all batches so far, for the claims known now; all ages."""
+    days = batch_increments(spark.read.parquet(target))
+    return paid_cells(days, claims, segments, scale=scale, fold_days=False)

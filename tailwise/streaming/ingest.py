@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import contract, text_schema, typed
-from ..sources.files import TEXT_FORMATS, expectations, keep_valid, with_ingest_metadata
+from ..schemas import contract, typed
+from ..sources.files import (
+    TEXT_FORMATS, TEXT_OPTIONS, expectations, keep_valid, with_ingest_metadata, written_schema,
+)
 
 
 def read_raw_stream(
@@ -19,7 +21,8 @@ def read_raw_stream(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if file_format in TEXT_FORMATS:
-        raw = reader.option("header", "true").schema(text_schema(schema)).load(path)
+        columns = written_schema(spark, table, path, file_format)
+        raw = reader.options(**TEXT_OPTIONS[file_format]).schema(columns).load(path)
     else:
         raw = reader.schema(schema).load(path)
     return typed(with_ingest_metadata(raw, "streaming"), schema)

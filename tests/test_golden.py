@@ -4,6 +4,8 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import fixtures
 from tailwise.operators import analytics, chainladder, claims, diagnostics, metrics, risk, triangle
 
@@ -256,3 +258,41 @@ def test_flagged_claims_of_the_small_portfolio(small):
     assert scored["C18-5"].risk_keywords == ["mold", "black mold", "attorney", "representation"]
     assert scored["C18-5"].risk_score == 1.0
     assert scored["C18-5"].risk_category == "water_damage"
+
+
+@pytest.mark.parametrize("grain", ["year", "quarter", "month"])
+def test_cells_hold_every_payment_on_or_after_the_loss(spark, grain):
+    claims, payments = fixtures.claims(spark), fixtures.payments(spark)
+    base = triangle.triangle_base(payments, claims, grain)
+    cells = triangle.paid_cells(payments, claims, grain=grain)
+    total = base.agg(F.sum("payment_amount")).first()[0]
+    assert cells.agg(F.sum("incremental_value")).first()[0] == total
+    limited = triangle.paid_cells(payments, claims, grain=grain, max_periods=2)
+    outside = triangle.payments_outside_window(base, 2)
+    left = sum(r.payment_amount for r in outside.collect())
+    assert (limited.agg(F.sum("incremental_value")).first()[0] or 0) + left == total
+
+
+def test_holes_and_tall_triangles(spark):
+    from tailwise.operators import analytics, diagnostics
+
+    rows = [("a", o, d, 100.0 * 2**d) for o in (1, 2) for d in range(3)] + [("a", 3, 0, 100.0), ("a", 3, 2, 400.0)]
+    cells = spark.createDataFrame(rows, "loss_type string, origin_period int, development_period int, cumulative_value double")
+    compared = analytics.actual_vs_expected(cells).filter("origin_period = 3").collect()
+    assert compared == []
+    tall = [("a", o, d, 1.0) for o in range(12) for d in range(3)]
+    tall = spark.createDataFrame(tall, cells.schema)
+    row = diagnostics.completeness(tall).first()
+    assert (row.expected_cells, row.actual_cells) == (6, 36)
+
+
+def test_a_type_without_held_amount_is_deficient(spark):
+    from tailwise.operators import metrics
+
+    estimates = spark.createDataFrame(
+        [("a", 1, 10.0, 20.0, 10.0, 0.5), ("b", 1, 10.0, 20.0, 10.0, 0.5)],
+        "loss_type string, origin_period int, latest_cumulative double, ultimate_loss double, ibnr double, percent_reported double",
+    )
+    held = spark.createDataFrame([("a", 25.0)], "loss_type string, held_reserves double")
+    got = {r.loss_type: (r.held_reserves, r.adequacy_status) for r in metrics.adequacy_of_held(estimates, held).collect()}
+    assert got == {"a": (25.0, "ADEQUATE"), "b": (0.0, "DEFICIENT")}

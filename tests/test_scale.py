@@ -135,11 +135,3 @@ def test_random_triangles(spark, increments):
             expected *= f
         assert row.ultimate_loss == pytest.approx(expected, rel=1e-9)
         assert row.latest_age == len(values) - 1
-
-
-def test_small_side_is_checked(spark):
-    from tailwise.session import small_side
-
-    rows = spark.range(50)
-    assert "broadcast" in small_side(rows, "few")._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in small_side(rows, "many", 10)._jdf.queryExecution().logical().toString().lower()

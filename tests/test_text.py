@@ -131,3 +131,26 @@ def test_emerging_risks(spark):
     assert sorted((r.risk_score, r.risk_priority) for r in flagged) == [
         (0.25, "LOW"), (0.5, "MEDIUM"), (0.85, "CRITICAL"),
     ]
+
+
+def test_keywords_of_any_case_and_none(spark):
+    from tailwise.functions.vocabulary import Term
+
+    terms = (Term("Sprinkler", "system", 0.5), Term("Burst Pipe", "water", 0.9))
+    texts = ["the SPRINKLER and a burst pipe", "sprinklers", None]
+    assert [k for k, _, _ in scored(spark, texts, terms)] == [["Sprinkler", "Burst Pipe"], [], []]
+    assert scored(spark, texts, ())[0] == ([], 0.0, "low_risk")
+
+
+def test_a_model_gets_the_text_as_written(spark):
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def label(text: pd.Series) -> pd.Series:
+        return text.str.contains("LAWSUIT").map({True: "high_risk", False: "low_risk"})
+
+    claims = spark.createDataFrame(
+        [(1, "A LAWSUIT is near", "d"), (2, "a lawsuit is near", "d")], "claim_id int, adjuster_notes string, loss_description string"
+    )
+    rows = risk.classify_claims(claims, label=lambda text, found: label(text)).orderBy("claim_id").collect()
+    assert [r.risk_category for r in rows] == ["high_risk", "low_risk"]
