@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from ..functions import periods
 
 
-def payment_totals(payments: DataFrame, reserve_mode: str = "max") -> DataFrame:
-    """Last payment date, total paid and case reserve per claim.
+def payment_totals(
+    payments: DataFrame, reserve_mode: str = "max", as_of: dt.date | None = None
+) -> DataFrame:
+    """Last payment date, total paid and case reserve per claim, up to ``as_of`` if given.
 
     ``reserve_mode="max"`` is the highest reserve ever set; ``"latest"`` the one set with the last
     payment (the larger of several on that day). All aggregates combine on the map side.
     """
+    if as_of is not None:
+        payments = payments.filter(F.col("payment_date") <= F.lit(as_of))
     if reserve_mode == "max":
         reserve = F.max("reserve_amount")
     elif reserve_mode == "latest":
@@ -30,13 +34,14 @@ def payment_totals(payments: DataFrame, reserve_mode: str = "max") -> DataFrame:
 
 
 def enrich_claims(
-    claims: DataFrame, payments: DataFrame, reserve_mode: str = "max", scale: int | None = None
+    claims: DataFrame, payments: DataFrame, reserve_mode: str = "max", scale: int | None = None,
+    as_of: dt.date | None = None,
 ) -> DataFrame:
-    """Every claim with its payment totals, incurred amount and origin year.
+    """Every claim with its payment totals (up to ``as_of``), incurred amount and origin year.
 
     ``scale`` rounds the amounts so that results do not depend on the order of floating sums.
     """
-    joined = claims.join(payment_totals(payments, reserve_mode), "claim_id", "left")
+    joined = claims.join(payment_totals(payments, reserve_mode, as_of), "claim_id", "left")
     paid = F.coalesce("total_paid", F.lit(0.0))
     reserve = F.coalesce("current_reserve", F.lit(0.0))
     incurred = paid + reserve

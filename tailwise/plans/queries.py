@@ -203,7 +203,7 @@ def expected_values_with_holes(x: Inputs) -> DataFrame:
     placed = x.claims(places=True)
     cells = triangle.paid_cells(x.payments(), placed, segments, grain="month", scale=SCALE)
     compared = analytics.actual_vs_expected(cells, segments)
-    return shown(compared, p4="actual_value", p2=["expected_value", "residual"]).drop("pct_deviation")
+    return shown(compared, p4=["actual_value", "expected_value", "residual"]).drop("pct_deviation")
 
 
 @query

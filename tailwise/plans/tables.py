@@ -37,17 +37,21 @@ def build_tables(
     max_periods: int | None = None,
     scale: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Silver and gold tables by name."""
+    """Silver and gold tables by name, all as of one valuation date.
+
+    One fold of the payments to claim-days feeds the cells and the claim totals.
+    """
     tables: dict[str, DataFrame] = {}
 
+    days = materialise(triangle.claim_days(payments, as_of), "claim-days")
     by_type = materialise(
         triangle.paid_cells(
-            payments, claims, ["loss_type"], max_periods=max_periods, as_of=as_of, scale=scale
+            days, claims, ["loss_type"], max_periods=max_periods, scale=scale, fold_days=False
         ),
         "cells",
     )
     with_payments = materialise(
-        claim_ops.enrich_claims(claims, payments, scale=scale), "claims-with-payments"
+        claim_ops.enrich_claims(claims, days, scale=scale), "claims-with-payments"
     )
 
     pooled = pool_cells(by_type)
@@ -61,7 +65,7 @@ def build_tables(
     tables["risk_summary_basic"] = risk.risk_summary(
         tables["claims_basic_risk"], flag="high_risk_flag_sql", detail="indicator"
     )
-    classified = risk.classify_claims(with_payments)
+    classified = materialise(risk.classify_claims(with_payments), "claims-classified")
     tables["claims_classified"] = classified
     tables["risk_summary"] = risk.risk_summary(classified, detail="classified")
     tables["risk_entities"] = risk.risk_entity_breakdown(classified, as_of)

@@ -296,3 +296,14 @@ def test_a_type_without_held_amount_is_deficient(spark):
     held = spark.createDataFrame([("a", 25.0)], "loss_type string, held_reserves double")
     got = {r.loss_type: (r.held_reserves, r.adequacy_status) for r in metrics.adequacy_of_held(estimates, held).collect()}
     assert got == {"a": (25.0, "ADEQUATE"), "b": (0.0, "DEFICIENT")}
+
+
+def test_one_valuation_date_for_cells_and_claims(spark):
+    from tailwise.plans.tables import build_tables
+
+    as_of = dt.date(2019, 12, 31)
+    tables = build_tables(fixtures.claims(spark), fixtures.payments(spark), as_of)
+    paid = tables["triangle_cells"].agg(F.sum("incremental_value")).first()[0]
+    assert tables["claims_with_payments"].agg(F.sum("total_paid")).first()[0] == paid
+    late = claims.payment_totals(fixtures.payments(spark), as_of=as_of).agg(F.max("latest_payment_date")).first()[0]
+    assert late <= as_of
