@@ -68,7 +68,10 @@ def with_keywords_found(df: DataFrame, text: Column, keywords: Sequence[str]) ->
     searched = df.withColumn("_lowered", F.lower(F.coalesce(text, F.lit("")))).withColumn(
         "_present", words_present(lowered, keywords)
     )
-    found = F.concat(present, phrases_present(lowered, present, keywords))
+    # A phrase needs its words, so a text without any of the words has nothing to look at.
+    found = F.when(
+        F.size(present) > 0, F.concat(present, phrases_present(lowered, present, keywords))
+    ).otherwise(present)
     return searched.withColumn("_found", found).drop("_present")
 
 

@@ -42,16 +42,21 @@ def score_text(df: DataFrame, text: Column, terms: Sequence[Term] = DEFAULT_TERM
     keywords = [t.keyword for t in terms]
     matched = (
         words.with_keywords_found(df, text, keywords)
-        .withColumn("_matched", words.listed(keywords, F.col("_found")))
+        .withColumn(
+            "_matched",
+            F.when(F.size("_found") > 0, words.listed(keywords, F.col("_found"))).otherwise(
+                F.array().cast("array<string>")
+            ),
+        )
         .withColumn("_positions", words.positions_of(F.col("_matched"), terms))
     )
-    positions = F.col("_positions")
+    positions, any_word = F.col("_positions"), F.size("_matched") > 0
     return words.with_results(
         matched,
         {
             "risk_keywords": F.col("_matched"),
-            "risk_score": words.score_of(positions, terms),
-            "risk_category": words.category_of(positions, terms),
+            "risk_score": F.when(any_word, words.score_of(positions, terms)).otherwise(0.0),
+            "risk_category": F.when(any_word, words.category_of(positions, terms)).otherwise("low_risk"),
         },
     ).drop("_lowered", "_found", "_matched", "_positions")
 

@@ -30,9 +30,24 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that this application owns, named by its identifier."""
+    return f"{shared_folder(spark)}/tailwise-{spark.sparkContext.applicationId}"
+
+
+def remove_run_folder(spark: SparkSession) -> None:
+    """Delete what this application has written there; tables built on it cannot be read afterwards.
+
+    Call it at the end of a run. The folder of a run that died is its owner's to delete.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(conf).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """An unused path in this run's part of the shared folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

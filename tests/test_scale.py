@@ -135,3 +135,14 @@ def test_random_triangles(spark, increments):
             expected *= f
         assert row.ultimate_loss == pytest.approx(expected, rel=1e-9)
         assert row.latest_age == len(values) - 1
+
+
+def test_a_run_owns_its_folder(spark):
+    import os
+
+    from tailwise.session import materialise, run_folder
+
+    kept = materialise(spark.range(3).toDF("x"), "few")
+    assert kept.count() == 3
+    folder = run_folder(spark).removeprefix("file:")
+    assert spark.sparkContext.applicationId in folder and any(n.startswith("few-") for n in os.listdir(folder))
