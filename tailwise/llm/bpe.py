@@ -21,7 +21,7 @@ from itertools import batched
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the published split pattern of the vocabulary.
@@ -254,7 +254,7 @@ def n_tokens(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
 
 
-def digests(docs: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document the number of tokens and the digests of its numbers and of the decoded text."""
     vocabulary = read_vocabulary(path)
     done = decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary)

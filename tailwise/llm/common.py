@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A word is a run of characters other than the six ASCII spaces; Python's bytes.split() agrees.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,17 +38,6 @@ def one_row_barrier(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.explode(F.array(packed)).alias("_made")).select(*kept, "_made.*")
 
 
-def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    """``work`` on every non-empty Arrow batch; Spark bounds a batch by rows and by bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from work(batch)
-
-    return df.mapInArrow(run, schema)
-
-
 def texts_of(column: pa.Array) -> tuple[np.ndarray, memoryview]:
     """Byte offsets and the byte buffer of a string column without nulls."""
     column = column.cast(pa.large_string())

@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,7 +101,7 @@ BATCH_SCHEMA = T.StructType(
 )
 
 
-def _batch_owners(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _batch_owners(batch: pa.RecordBatch) -> dict[str, pa.Array]:
     """Insert one batch into a trie per length and hash; representatives keep text and count."""
     rows = batch.column("row_id").to_pylist()
     ids = batch.column("doc_id").to_pylist()
@@ -127,7 +128,7 @@ def _batch_owners(batch: pa.RecordBatch) -> pa.RecordBatch:
     reps = [best[owner] for owner in first]
     is_rep = pa.array([rep == place for place, rep in enumerate(reps)])
     count = pa.array([copies[owner] if best[owner] == place else None for place, owner in enumerate(first)], pa.int64())
-    kept_text = pa.compute.if_else(is_rep, texts, pa.scalar(None, texts.type))
+    kept_text = pc.if_else(is_rep, texts, pa.scalar(None, texts.type))
     return {
         "rep_row": pa.array([rows[r] for r in reps], pa.int64()),
         "rep_id": pa.array([ids[r] for r in reps], pa.int64()),
@@ -138,13 +139,11 @@ def _batch_owners(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def _first_round(payload: T.StructType | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401  (binds pa.compute in the worker)
-
         names = [f.name for f in BATCH_SCHEMA] + (["payload"] if payload is not None else [])
         for batch in batches:
             if batch.num_rows:
                 made = _batch_owners(batch)
-                yield pa.RecordBatch.from_arrays([made.get(n, batch.column(n) if n not in made else None) for n in names], names=names)
+                yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(n) for n in names], names=names)
 
     return run
 

@@ -289,7 +289,7 @@ def _verify_unit(table: pa.Table, apart: bool, similarity: float) -> pa.Table |
     fresh = _new_pairs(labels, table.column("tree")[0].as_py(), side, apart)
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
     both = overlaps(sets)
-    # Integers throughout: |A & B| >= s |A | B| without a rounded quotient.
+    # |A & B| >= s |A | B| in whole numbers, the threshold in thousandths.
     linked = fresh & (both * 1000 >= round(similarity * 1000) * (sizes[:, None] + sizes[None, :] - both))
     if not linked.any():
         return None
@@ -337,7 +337,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) from (a, b) edges: the component is its smallest node.
 
     Every round each node takes the smallest label among its neighbours and then its label's label;
-    labels only shrink, and the rounds end when none does. Two rounds' tables are all that is kept open.
+    labels only shrink, and the rounds end when none does.
     """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("next")).union(edges.select("b", "a"))
     both = materialise(both.distinct(), "near-edges")

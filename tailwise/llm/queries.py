@@ -37,7 +37,7 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and their way back."""
-    return bpe.digests(read_table(spark, sf_dir, "documents"), spark, vocabulary_path())
+    return bpe.digests(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def op3_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
