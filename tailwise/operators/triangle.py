@@ -127,7 +127,11 @@ def triangle_base(
     as_of: dt.date | None = None,
     carry: Sequence[str] = CLAIM_ATTRIBUTES,
 ) -> DataFrame:
-    """One row per payment made on or after the loss, with its origin and development period."""
+    """One row per payment made on or after the loss, with its origin and development period.
+
+    Where one claim may own a large part of the payments and cells follow, give it the payments folded
+    by :func:`claim_days`.
+    """
     if as_of is not None:
         payments = payments.filter(F.col("payment_date") <= F.lit(as_of))
     joined = payments.join(claims.select(*_carried(claims, carry)), "claim_id")
@@ -136,15 +140,17 @@ def triangle_base(
     return with_age.withColumn("origin_period", periods.origin_key("loss_date", grain))
 
 
-def claim_days(payments: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """Payments folded to one row per claim and payment date.
+def claim_days(
+    payments: DataFrame, as_of: dt.date | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Payments folded to one row per claim and payment date (and the columns of ``keep``).
 
     The sums combine on the map side, so the shuffle carries at most one row per claim, date and
     map task whatever the distribution of payments over claims.
     """
     if as_of is not None:
         payments = payments.filter(F.col("payment_date") <= F.lit(as_of))
-    return payments.groupBy("claim_id", "payment_date").agg(
+    return payments.groupBy("claim_id", "payment_date", *keep).agg(
         F.sum("payment_amount").alias("payment_amount"),
         F.max("reserve_amount").alias("reserve_amount"),
     )
@@ -401,26 +407,31 @@ def triangle_long(
     loss_type: str = "ALL",
     grain: str = "year",
     as_of: dt.date | None = None,
+    segments: Sequence[str] = (),
 ) -> DataFrame:
     """The stored long form: every origin × age, NULL where unobserved, plus labels and an id.
 
+    ``segments`` are those of loss_type, state and county that the cells have; a triangle's id is made
+    of its labels.
+
     The pivot carries whole cells (value, increment, count), so going wide and back needs no join
     with the cells and the payments behind them are read once.
     """
     packed = cells.withColumn(
         "cell", F.struct("cumulative_value", "incremental_value", "claim_count")
     )
-    wide = triangle_wide(packed, ages, value="cell")
+    wide = triangle_wide(packed, ages, segments, value="cell")
     columns = [f"dev_{a}" for a in ages]
-    long = wide.unpivot(["origin_period"], columns, "age_column", "cell")
-    key = F.concat_ws("|", F.lit(triangle_type), F.lit(loss_type), F.lit(grain))
+    long = wide.unpivot([*segments, "origin_period"], columns, "age_column", "cell")
+    kind = F.col("loss_type") if "loss_type" in segments else F.lit(loss_type)
+    place = {p: F.col(p) if p in segments else F.lit(None).cast("string") for p in ("state", "county")}
+    key = F.concat_ws("|", F.lit(triangle_type), kind, *place.values(), F.lit(grain))
     labelled = label_cells(long, triangle_type, loss_type, grain, as_of)
     return labelled.select(
         F.sha2(key, 256).alias("triangle_id"),
         "triangle_type",
         "loss_type",
-        F.lit(None).cast("string").alias("state"),
-        F.lit(None).cast("string").alias("county"),
+        *[column.alias(p) for p, column in place.items()],
         "origin_period",
         F.substring("age_column", 5, 10).cast("int").alias("development_period"),
         "cell.cumulative_value",

@@ -154,7 +154,8 @@ def triangle_by_loss_type(x: Inputs) -> DataFrame:
 
 @query
 def triangle_cells_from_base(x: Inputs) -> DataFrame:
-    base = triangle.triangle_base(x.payments(), x.claims())
+    days = triangle.claim_days(x.payments(), keep=["payment_type"])
+    base = triangle.triangle_base(days, x.claims())
     cells = triangle.triangle_cells(base, ["loss_type", "payment_type"], scale=SCALE)
     return shown(cells, p4=["incremental_value", "cumulative_value"])
 
@@ -256,6 +257,15 @@ def triangle_long_store(x: Inputs) -> DataFrame:
     return shown(long, p4=["cumulative_value", "incremental_value"]).drop("state", "county")
 
 
+@query
+def triangle_long_by_segment(x: Inputs) -> DataFrame:
+    """The stored form of all triangles by loss type and state."""
+    segments = ["loss_type", "state"]
+    cells = triangle.paid_cells(x.payments(), x.claims(places=True), segments, scale=SCALE)
+    long = triangle.triangle_long(cells, range(LAYOUT_AGES), as_of=AS_OF, segments=segments)
+    return shown(long, p4=["cumulative_value", "incremental_value"]).drop("county")
+
+
 @query
 def triangle_densified(x: Inputs) -> DataFrame:
     cells = x.cells(("loss_type", "claim_status"))
@@ -554,7 +564,7 @@ def _assumptions(x: Inputs) -> DataFrame:
 
 @query
 def credibility_blend(x: Inputs) -> DataFrame:
-    chosen = _assumptions(x).filter(F.col("origin_period") < 2000).drop("additional")
+    chosen = _assumptions(x).drop("additional")
     blended = analytics.credibility_blend(x.total_estimates(), chosen)
     money = [*ESTIMATE_MONEY, "case_reserve", "bf_ultimate", "ultimate_reserve", "ibnr_reserve"]
     return shown_estimates(blended, p2=money, p6=["credibility", "percent_reported"])

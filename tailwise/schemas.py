@@ -6,36 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The stored layouts, "name type" with "!" for not-null columns.
+# The stored layouts.
 _LAYOUTS = {
-    "claims": """claim_id string!, policy_id string!, loss_date date!, report_date date!,
-        claimant_name string, loss_type string!, loss_description string, adjuster_notes string,
-        claim_status string!, county string, state string, zip_code string,
-        catastrophe_code string, created_at timestamp!, updated_at timestamp!""",
-    "payments": """payment_id string!, claim_id string!, payment_date date!, payment_type string!,
-        payment_amount double!, cumulative_paid double, reserve_amount double,
-        payment_status string!, check_number string, payee_name string, expense_type string,
-        created_at timestamp!""",
-    "enriched_claims_contract": """claim_id string!, policy_id string!, loss_date date!,
-        report_date date!, origin_year int!, origin_quarter int!, development_month int!,
-        loss_type string!, adjuster_notes string, claim_status string!, county string,
-        state string, catastrophe_code string, cumulative_paid double!, incurred_amount double!,
-        created_at timestamp!""",
-    "enriched_claims": """claim_id string!, policy_id string, loss_date date, report_date date,
+    "claims": """claim_id string NOT NULL, policy_id string NOT NULL, loss_date date NOT NULL, report_date date NOT NULL,
+        claimant_name string, loss_type string NOT NULL, loss_description string, adjuster_notes string,
+        claim_status string NOT NULL, county string, state string, zip_code string,
+        catastrophe_code string, created_at timestamp NOT NULL, updated_at timestamp NOT NULL""",
+    "payments": """payment_id string NOT NULL, claim_id string NOT NULL, payment_date date NOT NULL, payment_type string NOT NULL,
+        payment_amount double NOT NULL, cumulative_paid double, reserve_amount double,
+        payment_status string NOT NULL, check_number string, payee_name string, expense_type string,
+        created_at timestamp NOT NULL""",
+    "enriched_claims_contract": """claim_id string NOT NULL, policy_id string NOT NULL, loss_date date NOT NULL,
+        report_date date NOT NULL, origin_year int NOT NULL, origin_quarter int NOT NULL, development_month int NOT NULL,
+        loss_type string NOT NULL, adjuster_notes string, claim_status string NOT NULL, county string,
+        state string, catastrophe_code string, cumulative_paid double NOT NULL, incurred_amount double NOT NULL,
+        created_at timestamp NOT NULL""",
+    "enriched_claims": """claim_id string NOT NULL, policy_id string, loss_date date, report_date date,
         loss_type string, loss_description string, adjuster_notes string, claim_status string,
         county string, state string, zip_code string, catastrophe_code string, origin_year int,
         origin_period int, latest_payment_date date, total_paid double, current_reserve double,
         incurred_amount double, risk_category string, risk_score double,
         risk_keywords array<string>, high_risk_flag boolean""",
-    "loss_triangles": """triangle_id string!, triangle_type string!, loss_type string, state string,
-        county string, origin_period int!, development_period int!, cumulative_value double,
-        incremental_value double, claim_count int, period_type string!, as_of_date date""",
-    "development_factors": """triangle_type string!, loss_type string, development_period int!,
+    "loss_triangles": """triangle_id string NOT NULL, triangle_type string NOT NULL, loss_type string, state string,
+        county string, origin_period int NOT NULL, development_period int NOT NULL, cumulative_value double,
+        incremental_value double, claim_count int, period_type string NOT NULL, as_of_date date""",
+    "development_factors": """triangle_type string NOT NULL, loss_type string, development_period int NOT NULL,
         ata_factor double, cdf_to_ultimate double, percent_developed double""",
-    "reserve_estimates": """origin_period int!, latest_cumulative double, ultimate_loss double,
-        ibnr double, percent_reported double, triangle_type string!, loss_type string,
+    "reserve_estimates": """origin_period int NOT NULL, latest_cumulative double, ultimate_loss double,
+        ibnr double, percent_reported double, triangle_type string NOT NULL, loss_type string,
         segment string, tail_factor double""",
-    "reserve_summary": """as_of_date date!, triangle_type string!, loss_type string,
+    "reserve_summary": """as_of_date date NOT NULL, triangle_type string NOT NULL, loss_type string,
         total_paid double, total_ibnr double, total_ultimate double, reserve_adequacy double,
         held_reserves double, reserve_margin double, ai_adjustment_factor double""",
     "risk_summary": """origin_year int, loss_type string, total_claims bigint,
@@ -53,8 +53,7 @@ REQUIRED_CLAIM_COLUMNS = (
 
 def contract(name: str) -> T.StructType:
     """The schema of a stored table."""
-    ddl = _LAYOUTS[name].replace("!", " NOT NULL")
-    return T.StructType.fromDDL(" ".join(ddl.split()))
+    return T.StructType.fromDDL(" ".join(_LAYOUTS[name].split()))
 
 
 def contract_names() -> list[str]:
