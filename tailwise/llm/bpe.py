@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 # Fixed value: the published split pattern of the vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-CACHED_PIECES = 300_000  # pieces remembered by a worker, and as many from before
+CACHED_PIECES = 200_000  # pieces remembered by a worker, and as many from before
 CACHED_LENGTH = 48  # longest piece remembered, in characters
 CHUNK = 65_536  # pieces of a text handled at a time
 NEVER = 1 << 62

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import functools
 import io
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ PER_LANGUAGE = 400  # labelled texts a language
 LANDMARKS = 96  # landmark passages a language
 TRAIN_PASSAGES = 8  # passages of a sampled text used in fitting
 PASSAGE = 2_000  # letters and word gaps a passage
-BLOCK = 256  # passages a matrix product
+BLOCK = 64  # passages a matrix product
 RIDGE = 1e-2
 UNKNOWN = "und"
 
@@ -79,8 +79,8 @@ def features(passages: list[np.ndarray]) -> np.ndarray:
     """Presence rows whose dot products are the normalised kernel."""
     made = presence(passages)
     made *= np.sqrt(_blend())
-    norms = np.sqrt(np.einsum("ij,ij->i", made, made))
-    return made / np.maximum(norms, 1e-9)[:, None]
+    made /= np.maximum(np.sqrt(np.einsum("ij,ij->i", made, made)), 1e-9)[:, None]
+    return made
 
 
 def passages_of(text: str) -> list[np.ndarray]:
@@ -139,12 +139,12 @@ class Model:
         parts = [features(passages[s : s + BLOCK]) @ self.matrix + self.offset for s in range(0, len(passages), BLOCK)]
         return np.concatenate(parts) if parts else np.zeros((0, len(self.languages)), np.float32)
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        """Language and its share of the score; ``und`` and 0 without a letter."""
+    def predict(self, texts: Iterable[str], n_texts: int) -> tuple[list[str], list[float]]:
+        """Language and its share of the score; ``und`` and 0 without a letter. Texts are taken one by one."""
         names, shares = [], []
         cut, owner, sizes = [], [], []
-        totals = np.zeros((len(texts), max(1, len(self.languages))))
-        weight = np.zeros(len(texts))
+        totals = np.zeros((n_texts, max(1, len(self.languages))))
+        weight = np.zeros(n_texts)
 
         def flush() -> None:
             if cut and self.languages:
@@ -217,7 +217,7 @@ def predict(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Model.load(shared.value)
         for batch in batches:
-            languages, scores = fitted.predict([t or "" for t in batch.column(place).to_pylist()])
+            languages, scores = fitted.predict((t.as_py() or "" for t in batch.column(place)), batch.num_rows)
             made = [pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, "lang_pred", "score"])
 

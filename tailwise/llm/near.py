@@ -36,7 +36,7 @@ TREES = 32
 FULL_PREFIX = 8
 RECALL = 0.99999
 BLOCK = 512  # classes of one label in a block
-CHUNK = 1 << 21  # bytes of text hashed at a time
+CHUNK = 1 << 19  # bytes of text hashed at a time
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
