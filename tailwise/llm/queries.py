@@ -50,8 +50,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out & F.col("doc_id").isNotNull())
-    texts = docs.select("doc_id", "text").filter(~held_out)
-    model = toxicity.fit(texts.join(labels, "doc_id"))
+    model = toxicity.fit(docs.select("doc_id", "text").filter(~held_out), labels)
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")

@@ -186,19 +186,20 @@ def one_of_copies(sample: DataFrame) -> DataFrame:
     return kept.select("_row.doc_id", "_row.text", "toxic")
 
 
-def fit(labelled: DataFrame, per_label: int = PER_LABEL, seed: int = 4) -> bytes:
-    """A classifier from (doc_id, text, toxic) rows; rows with a null label are left out.
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, seed: int = 4) -> bytes:
+    """A classifier from (doc_id, text) and (doc_id, toxic) rows; null labels are left out.
 
-    With no row, or rows of one label only, the classifier gives the share of toxic rows.
+    The sample is drawn on identifiers and labels; only its own texts are fetched. With no row, or rows of one label only, the classifier gives the share of toxic rows.
     """
-    rows = labelled.filter(F.col("toxic").isNotNull())
+    known = labels.filter(F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    rows = docs.select("doc_id").join(known, "doc_id")
     totals = {r["toxic"]: r["n"] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
     prior = totals.get(1, 0) / max(1, sum(totals.values()))
     if len(totals) < 2:
         return pickle.dumps(({}, np.array([0.0] * PROPORTIONS + [30.0 if prior else -30.0])))
-    ids = bounded_sample(rows.select("doc_id", "toxic"), "toxic", per_label, seed).distinct()
+    ids = bounded_sample(rows, "toxic", per_label, seed).distinct()
     # At most per_label rows of each label: small by that bound.
-    sample = rows.join(F.broadcast(ids), ["doc_id", "toxic"], "left_semi")
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     sample = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     sample = one_of_copies(sample).repartition(12, "doc_id").persist()
     taken = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}

@@ -61,7 +61,7 @@ def test_toxicity_odd_rows(spark, odd_documents, no_documents):
 
     plain = odd_documents.select("doc_id", "text")
     for label in (F.lit(None).cast("int"), F.lit(0), F.lit(1), (F.col("doc_id") % 2).cast("int")):
-        model = toxicity.fit(plain.withColumn("toxic", label))
+        model = toxicity.fit(plain, plain.select("doc_id", label.alias("toxic")))
         rows = toxicity.score(plain, model).collect()
         assert len(rows) == 10 and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score(no_documents.select("doc_id", "text"), model).count() == 0
