@@ -273,6 +273,33 @@ def metric_catalogue() -> dict[str, Metric]:
     }
 
 
+# Bounds of the bands of the two metrics that have them.
+ADEQUACY_BOUNDS = ((1.0, "adequate"), (0.85, "marginal"), (0.0, "deficient"))
+LOSS_RATIO_BOUNDS = ((0.5, "excellent"), (0.65, "good"), (0.8, "fair"))
+
+
+def band_of(metric: str, value: Column) -> Column:
+    """The band of a value: adequacy by lower bounds, the loss ratio by upper bounds, else NULL."""
+    band = F.lit(None).cast("string")
+    if metric == "reserve_adequacy":
+        for bound, label in reversed(ADEQUACY_BOUNDS):
+            band = F.when(value >= bound, label).otherwise(band)
+    elif metric == "loss_ratio":
+        band = F.when(value.isNotNull(), "poor")
+        for bound, label in reversed(LOSS_RATIO_BOUNDS):
+            band = F.when(value <= bound, label).otherwise(band)
+    return band
+
+
+def metric_value(name: str, row: DataFrame) -> DataFrame:
+    """One row (metric, unit, value, band) from the inputs the catalogue names for the metric."""
+    metric = metric_catalogue()[name]
+    measured = row.select(metric.expression.cast("double").alias("value"))
+    return measured.select(
+        F.lit(name).alias("metric"), F.lit(metric.unit).alias("unit"), "value", band_of(name, F.col("value")).alias("band")
+    )
+
+
 def summary_metrics(summary: DataFrame) -> DataFrame:
     """The catalogue's summary-level metrics as (metric, value) rows for each segment."""
     catalogue = metric_catalogue()
