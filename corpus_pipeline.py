@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailwise.llm import bpe, exact, language, mix, near
-from tailwise.llm.common import fold, read_table
+from tailwise.llm.common import fold, read_table, small_batches
 from tailwise.llm.queries import MAX_EPOCHS, WEIGHTS, vocabulary_path
 from tailwise.session import materialise
 
@@ -23,6 +23,7 @@ ORACLE_SQL = None
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language learned from the labelled ones; texts without a letter go."""
+    small_batches(spark)
     model = language.fit(docs.filter(fold(F.col("doc_id"), 5) != 0).select("doc_id", "text", "lang"))
     others = [c for c in docs.columns if c != "text"]
     guessed = language.predict(docs.select(F.struct(*others).alias("others"), "text"), model)
@@ -32,11 +33,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest identifier stays."""
+    small_batches(spark)
     return exact.without_duplicates(docs)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays."""
+    small_batches(spark)
     return near.one_of_each(docs)
 
 
@@ -47,6 +50,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token numbers of every document, and whether they decode to its text."""
+    small_batches(spark)
     vocabulary = bpe.read_vocabulary(vocabulary_path())
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", "lang", "source", "n_chars", text.alias("text"), text.alias("copy"))

@@ -24,10 +24,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import returning
+
 # Fixed value: the published split pattern of the vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-CACHED_PIECES = 200_000  # pieces remembered by a worker, and as many from before
+CACHED_PIECES = 150_000  # pieces remembered by a worker, and as many from before
 CACHED_LENGTH = 48  # longest piece remembered, in characters
 CHUNK = 65_536  # pieces of a text handled at a time
 NEVER = 1 << 62
@@ -218,7 +220,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
             packed = pa.array((encoder.encode(t.as_py()) for t in batch.column(len(kept))), pa.large_binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed.cast(pa.binary())], names=[*kept, ids_col])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(returning(run), schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -246,7 +248,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", text_col:
                 made.append(whole.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=[*names, text_col])
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(returning(run), schema)
 
 
 def n_tokens(ids: Column) -> Column:

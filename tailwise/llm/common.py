@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,8 +15,36 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH_BYTES = "16m"  # of an Arrow batch; the JVM and Python hold several at a time
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, for texts of any length on small executors."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def release_memory() -> None:
+    """Give memory that a finished task freed back to the system: the worker waits, but keeps little."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def returning(run: Callable) -> Callable:
+    """A function over Arrow batches that releases memory when its task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return whole
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder, by Spark's own reader so that any store works."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

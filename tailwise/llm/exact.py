@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
+from .common import returning
 
 
 class Node:
@@ -181,7 +182,7 @@ def _owners(docs: DataFrame, id_col: str, text_col: str, carried: list[str]) ->
     )
     payload = rows.schema["payload"].dataType if carried else None
     schema = T.StructType(BATCH_SCHEMA.fields + ([T.StructField("payload", payload)] if carried else []))
-    stored = materialise(rows.mapInArrow(_first_round(payload), schema), "exact-batches")
+    stored = materialise(rows.mapInArrow(returning(_first_round(payload)), schema), "exact-batches")
 
     reps = stored.filter("copies is not null").select("row_id", "doc_id", "n_bytes", "hash", "copies")
     again = reps.groupBy("n_bytes", "hash").agg(F.count("*").alias("n")).filter("n > 1").drop("n")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample
+from .common import bounded_sample, returning
 
 PER_LANGUAGE = 400  # labelled texts a language
 LANDMARKS = 96  # landmark passages a language
@@ -221,4 +221,4 @@ def predict(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
             made = [pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(returning(run), schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import texts_of
+from .common import returning, texts_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -367,7 +367,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, trees: int
     length = prefix_length(similarity, trees, recall)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     signed = rows.mapInArrow(
-        lambda batches: _signed(batches, trees, length),
+        returning(lambda batches: _signed(batches, trees, length)),
         "doc_id long, set_key binary, n_shingles long, labels array<long>",
     )
     signed = materialise(signed, "near-signed")
@@ -386,13 +386,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, trees: int
         "label", F.least("side", "other").alias("block_a"), F.greatest("side", "other").alias("block_b"), "side", "tree", "set_key", "labels"
     )
     units = met.repartition(*UNIT).sortWithinPartitions(*UNIT)
-    units = units.mapInArrow(_find_units, "label long, block_a int, block_b int, side int, tree int, set_key binary")
+    units = units.mapInArrow(returning(_find_units), "label long, block_a int, block_b int, side int, tree int, set_key binary")
     units = materialise(units, "near-units")
 
     wanted = units.select("set_key").distinct().join(classes, "set_key")
     texts = rows.join(wanted.withColumnRenamed("rep_id", "doc_id"), "doc_id").drop("doc_id")
     ready = units.join(texts, "set_key").repartition(*UNIT).sortWithinPartitions(*UNIT)
-    links = ready.mapInArrow(_verify(similarity), "set_key binary, n_links long, root binary")
+    links = ready.mapInArrow(returning(_verify(similarity)), "set_key binary, n_links long, root binary")
     links = materialise(links, "near-links")
 
     joined = components(links.filter("set_key <> root").select(F.col("set_key").alias("a"), F.col("root").alias("b")))
