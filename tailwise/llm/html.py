@@ -4,8 +4,9 @@ Markup is stripped into lines, one per block element. Elements that never hold m
 headers, footers, sidebars, forms, scripts, reader comments, adverts by class or id) leave only empty
 lines. Over the lines slides a window summing their text lengths, link text not counted: where the sum
 rises the main text surges, where it falls to nothing it dives. Stretches between surge and dive whose
-peak reaches a share of the page's peak are kept, with all their lines. Where the page marks its main
-text (``article``, ``main``), the distribution is taken over the marked lines only.
+peak passes a limit (a share of the page's peak where that is less) are kept, with all their lines. This
+decides on every page. Where the page marks main text (``article``, ``main``), the mark is only a weight:
+its lines count more, their link text like other text, and its borders end a stretch.
 
 A page is one row and is worked on alone: a map over Arrow batches, no shuffle.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 WINDOW = 3  # lines per window
 SURGE = 80  # characters in a window at which main text begins ...
 PEAK_SHARE = 0.5  # ... or this share of the page's peak where that is less
+MARK_WEIGHT = 1.5  # what a character of marked lines counts
 
 # Element names of the HTML standard by their part in a page.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp"}
@@ -49,6 +51,9 @@ HINTS = {
     "recommended", "pagination", "pager", "search", "skip", "toolbar", "tags",
 }
 
+# Those that also hold for an article, which may be a reader's comment.
+COMMENT_HINTS = {"comment", "comments", "commentlist", "disqus", "reply", "replies", "respond"}
+
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
 )
@@ -74,18 +79,20 @@ class Line:
 def _boilerplate(name: str, attributes: str) -> bool:
     if name in NEVER_MAIN:
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not attributes or name in ("html", "body"):
         return False
     if HIDDEN.search(attributes):
         return True
+    if name == "main":
+        return False
     words = set()
     for _, value in ATTRIBUTE.findall(attributes):
         words.update(PART.findall(value.lower()))
-    return not HINTS.isdisjoint(words)
+    return not (COMMENT_HINTS if name == "article" else HINTS).isdisjoint(words)
 
 
 def lines_of(page: str) -> list[Line]:
-    """Strip the markup: one line per block in page order, empty lines where boilerplate stood."""
+    """Strip the markup: one line per block in page order, empty lines where boilerplate stood and marks change."""
     lines = [Line()]
     open_tags: list[str] = []
     dropped_at = None  # depth of the element being dropped
@@ -99,6 +106,10 @@ def lines_of(page: str) -> list[Line]:
         else:
             lines[-1].marked = marked > 0
 
+    def border(before: int) -> None:
+        if (before > 0) != (marked > 0):
+            lines.extend(Line(gap=True) for _ in range(WINDOW))
+
     def take(raw: str) -> None:
         if dropped_at is None and raw:
             text = html.unescape(raw)
@@ -120,6 +131,7 @@ def lines_of(page: str) -> list[Line]:
         closing, name, attributes = bool(found.group(1)), found.group(2).lower(), found.group(3)
         if closing:
             if name in open_tags:
+                before = marked
                 while True:
                     last = open_tags.pop()
                     marked -= last in MARKED
@@ -129,6 +141,8 @@ def lines_of(page: str) -> list[Line]:
                         lines += [Line(gap=True) for _ in range(WINDOW)]
                     if last == name:
                         break
+                if dropped_at is None:
+                    border(before)
             if name in BLOCKS and dropped_at is None:
                 begin()
             continue
@@ -148,6 +162,8 @@ def lines_of(page: str) -> list[Line]:
             dropped_at = len(open_tags)
         open_tags.append(name)
         marked += name in MARKED
+        if dropped_at is None:
+            border(marked - (name in MARKED))
         links += name == "a"
         if name in MARKED and dropped_at is None:
             begin()
@@ -157,23 +173,21 @@ def lines_of(page: str) -> list[Line]:
 def main_text(page: str) -> str:
     """The main text of one page, blocks joined by line feeds; empty if there is none."""
     lines = lines_of(page)
-    if any(line.marked and line.text() for line in lines):
-        lines = [line for line in lines if line.marked]
-        unlinked = False
-    else:
-        unlinked = True
     texts = [line.text() for line in lines]
-    counted = [max(0, len(t.replace(" ", "")) - (line.linked if unlinked else 0)) for t, line in zip(texts, lines)]
+    counted = []
+    for text, line in zip(texts, lines):
+        length = len(text.replace(" ", ""))
+        counted.append(length * MARK_WEIGHT if line.marked else max(0, length - line.linked))
     sums = [sum(counted[i : i + WINDOW]) for i in range(len(lines))]
     if not any(sums):
         return ""
-    surge = min(SURGE, PEAK_SHARE * max(sums)) if unlinked else 0
+    surge = min(SURGE, PEAK_SHARE * max(sums))
     kept, start = [], None
     for i in range(len(sums) + 1):
         if i < len(sums) and sums[i] > 0:
             start = i if start is None else start
         elif start is not None:  # a dive: the window at i holds nothing
-            if max(sums[start:i]) > surge or surge == 0:
+            if max(sums[start:i]) > surge:
                 stretch = range(start, min(i, len(lines)))
                 first = next(j for j in stretch if counted[j])
                 kept += [texts[j] for j in stretch if j >= first and texts[j]]

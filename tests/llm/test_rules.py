@@ -155,3 +155,27 @@ def test_query_texts_are_the_articles(spark, sf):
         body = page[page.find("<article>") : page.find("</article>")]
         blocks = [" ".join(entities.unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", body)]
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+LONG = "Body text in plain blocks, long enough to be the main text of this page, and it goes on for a while."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><article><a href=x>Read this story</a></article><div><div>{LONG}</div><div>Short.</div></div>",
+        f"<body><div><div>{LONG}</div><div>Short.</div></div><article><p>Teaser: a short story</p></article>",
+        f"<article><div>{LONG}</div><p>Short.</p></article><article class='comment odd'><p>{LONG}</p></article>",
+        f"<article hidden><p>{LONG}</p></article><main class=has-sidebar><div>{LONG}</div><p>Short.</p></main>",
+        f"<article><div>{LONG}</div><p>Short.</p></article><article><p>More</p></article>",
+    ],
+)
+def test_windows_choose_where_articles_are_marked(page):
+    assert html.main_text(page) == f"{LONG}\nShort."
+
+
+def test_a_mark_is_a_weight():
+    short = "A text of about sixty letters that a page marks as the main one of all."
+    page = f"<div>{LONG * 3}</div>"
+    assert html.main_text(f"{page}<article><p>{short}</p></article>") == f"{LONG * 3}\n{short}"
+    assert html.main_text(f"{page}{'<br><div></div>' * 4}<section><p>{short}</p></section>") == LONG * 3
