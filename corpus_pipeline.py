@@ -14,20 +14,21 @@ from tailwise.llm.common import fold, read_table, small_batches
 from tailwise.llm.queries import MAX_EPOCHS, WEIGHTS, vocabulary_path
 from tailwise.session import materialise
 
-# A text whose best language has less than this share of the score belongs to none that was learned.
-LEAST_LANGUAGE_SCORE = 0.35
+# A text without a passage that scores above this, one language against the rest (about -1 to 1), is in no
+# language that was learned. Other passages and the number of languages do not change a passage's scores.
+LEAST_PASSAGE_SCORE = -0.3
 
 # SQL cannot train the language classifier of the first stage.
 ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language learned from the labelled ones; texts without a letter go."""
+    """Documents with a passage in a language learned from the labelled ones; texts without a letter go."""
     small_batches(spark)
     model = language.fit(docs.filter(fold(F.col("doc_id"), 5) != 0).select("doc_id", "text", "lang"))
     others = [c for c in docs.columns if c != "text"]
-    guessed = language.predict(docs.select(F.struct(*others).alias("others"), "text"), model)
-    kept = guessed.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    guessed = language.predict(docs.select(F.struct(*others).alias("others"), "text"), model, raw_col="raw")
+    kept = guessed.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("raw") > LEAST_PASSAGE_SCORE))
     return kept.select(*[F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns])
 
 

@@ -139,16 +139,22 @@ class Model:
         parts = [features(passages[s : s + BLOCK]) @ self.matrix + self.offset for s in range(0, len(passages), BLOCK)]
         return np.concatenate(parts) if parts else np.zeros((0, len(self.languages)), np.float32)
 
-    def predict(self, texts: Iterable[str], n_texts: int) -> tuple[list[str], list[float]]:
-        """Language and its share of the score; ``und`` and 0 without a letter. Texts are taken one by one."""
+    def predict(self, texts: Iterable[str], n_texts: int) -> tuple[list[str], list[float], list[float]]:
+        """Language, its share of the score, and the largest raw score of any passage.
+
+        ``und``, 0 and -1 without a letter. Texts are taken one by one.
+        """
         names, shares = [], []
         cut, owner, sizes = [], [], []
         totals = np.zeros((n_texts, max(1, len(self.languages))))
         weight = np.zeros(n_texts)
+        raw = np.full(n_texts, -1.0)
 
         def flush() -> None:
             if cut and self.languages:
-                likely = np.clip((self.scores(cut) + 1) / 2, 1e-3, 1)
+                scores = self.scores(cut)
+                np.maximum.at(raw, owner, scores.max(1))
+                likely = np.clip((scores + 1) / 2, 1e-3, 1)
                 np.add.at(totals, owner, likely / likely.sum(1, keepdims=True) * np.array(sizes)[:, None])
             np.add.at(weight, owner, sizes)
             cut.clear(), owner.clear(), sizes.clear()
@@ -166,7 +172,7 @@ class Model:
             known = mass > 0 and self.languages
             names.append(self.languages[best] if known else UNKNOWN)
             shares.append(float(min(1.0, total[best] / mass)) if known else 0.0)
-        return names, shares
+        return names, shares, raw.tolist()
 
     def dump(self) -> bytes:
         held = io.BytesIO()
@@ -202,23 +208,25 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) ->
     return fitted[0]["model"] if fitted else Model.fit([], []).dump()
 
 
-def predict(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: bytes, text_col: str = "text", raw_col: str | None = None) -> DataFrame:
     """Add ``lang_pred`` and ``score`` (0 to 1), from the whole text alone.
 
     A text that is null, empty or without a letter gives ``und`` and 0, as does a model fitted on no
-    labelled text. Languages that tie go by name. Every row, repeated or not, gives one row; all other
-    columns stay, so the two names must be new.
+    labelled text. Languages that tie go by name. ``raw_col`` names one more column: the largest
+    one-against-rest score of any passage, -1 where the language is ``und``. Every row, repeated or not,
+    gives one row; all other columns stay, so the new names must not be among them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     place = names.index(text_col)
-    schema = docs.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    added = ["lang_pred", "score"] + ([raw_col] if raw_col else [])
+    schema = docs.withColumns({c: F.lit("") if c == "lang_pred" else F.lit(0.0) for c in added}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Model.load(shared.value)
         for batch in batches:
-            languages, scores = fitted.predict((t.as_py() or "" for t in batch.column(place)), batch.num_rows)
-            made = [pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, "lang_pred", "score"])
+            languages, *scores = fitted.predict((t.as_py() or "" for t in batch.column(place)), batch.num_rows)
+            made = [pa.array(languages, pa.string()), *[pa.array(s, pa.float64()) for s in scores]][: len(added)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, *added])
 
     return docs.mapInArrow(returning(run), schema)

@@ -25,6 +25,19 @@ def test_language_keeps_texts_with_letters(staged):
     assert after.count() > 0.95 * before.count()
 
 
+def test_language_keeps_texts_that_mix_known_languages(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    by = {}
+    for r in docs.orderBy("doc_id").collect():
+        by[r.lang] = (by.get(r.lang, "") + " " + (r.text or ""))[:4000]
+    assert len(by) == 4
+    mixed = " ".join(by[name] for name in sorted(by))
+    rows = [(10**9, mixed, None, "s", len(mixed)), (10**9 + 1, "Съешь ещё этих мягких французских булок " * 60, None, "s", 2400)]
+    more = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = corpus_pipeline.known_language(spark, more, sf).filter(f"doc_id >= {10**9}").collect()
+    assert [(r.doc_id, r.text) for r in kept] == [(10**9, mixed)]
+
+
 def test_one_of_each_group_of_copies_stays(staged):
     _, before, after = staged[1]
     kept = {r.doc_id for r in exact.exact_duplicates(before).filter("kept").collect()}
