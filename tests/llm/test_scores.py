@@ -120,3 +120,23 @@ def test_language_model_odd_rows(odd_documents, no_documents):
     nothing = lm.score(plain.withColumn("held_out", F.lit(True))).collect()
     assert {r.train_tokens for r in nothing} == {0} and {r.n_known for r in nothing} == {0}
     assert lm.score(no_documents.select("doc_id", "text", F.lit(False).alias("held_out"))).count() == 0
+
+
+def test_language_model_rounds_grow_with_the_blocks(spark, documents, monkeypatch):
+    monkeypatch.setattr(lm, "ROUND_BLOCKS", 2)
+    made, trainer = [], lm._trainer
+    monkeypatch.setattr(lm, "_trainer", lambda *given: made.append(given) or trainer(*given))
+    docs = spark.createDataFrame([(n, f"some words of text number {n} and more", n % 7 == 2) for n in range(60)], "doc_id long, text string, held_out boolean")
+    for blocks in (6, 10):
+        made.clear()
+        assert lm.score(docs.repartition(blocks)).count() == 60
+        assert len(made) == blocks // 2
+
+
+def test_blocks_are_dealt_evenly():
+    for n in (0, 1, 16, 17, 100):
+        dealt = lm.deal([k << 32 for k in range(n)])
+        shares = Counter((turn, worker) for _, turn, worker in dealt)
+        assert sorted(b for b, _, _ in dealt) == [k << 32 for k in range(n)]
+        assert len({turn for turn, _ in shares}) == -(-n // lm.ROUND_BLOCKS)
+        assert max(shares.values(), default=0) <= lm.ROUND_BLOCKS // lm.ROUND_WORKERS
