@@ -1,10 +1,10 @@
-"""Near duplicates: the Jaccard join of word shingles by a MinHash LSH forest, verified exactly.
+"""Near duplicates: the Jaccard join of word shingles by MinHash bands, verified exactly.
 
 Every text becomes the set of its 5-word shingles. Texts with equal sets are one class with a number of
-copies, so copies are never paired. Of each class every tree of the forest keeps a sorted prefix of its
-MinHash signature as a label. Two classes with the wanted similarity share a prefix of length d in at
-least one of t trees with probability 1 - (1 - s^d)^t: the matched prefix is shortened from its full
-length until that reaches the target recall, and classes that share a label at that length meet.
+copies, so copies are never paired. Fixed banding stands in for an LSH forest: of each class every tree
+(band) keeps a label of its MinHash values; no tries are kept. Two classes with the wanted similarity share a band of d values in at
+least one of t trees with probability 1 - (1 - s^d)^t: d is the largest, up to a bound, that reaches the target
+recall, one for all data, and classes that share a label meet.
 
 A pair may meet in several trees; it is looked at in the first one only, which both sides' labels tell.
 So no pair is ever a row: a unit of work is one label (or a pair of blocks of a frequent label), and it
