@@ -12,6 +12,7 @@ in one task); scoring is a map over Arrow batches without a shuffle.
 from __future__ import annotations
 
 import functools
+import hashlib
 import io
 from collections.abc import Iterable, Iterator
 
@@ -24,7 +25,7 @@ from .common import bounded_sample, returning
 
 PER_LANGUAGE = 400  # labelled texts a language
 LANDMARKS = 96  # landmark passages a language
-TRAIN_PASSAGES = 8  # passages of a sampled text used in fitting
+TRAIN_PASSAGES = 8  # passages of a sampled text used in fitting, drawn over the whole of it
 PASSAGE = 2_000  # letters and word gaps a passage
 BLOCK = 64  # passages a matrix product
 RIDGE = 1e-2
@@ -91,6 +92,12 @@ def passages_of(text: str) -> list[np.ndarray]:
     return np.array_split(whole, max(1, round(len(whole) / PASSAGE)))
 
 
+def _drawn(n: int, most: int, key: bytes) -> np.ndarray:
+    """At most ``most`` of n places in order, drawn by a hash of the key."""
+    seed = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little")
+    return np.arange(n) if n <= most else np.sort(np.random.default_rng(seed).choice(n, most, replace=False))
+
+
 class Model:
     """Languages in order, and the matrix that turns features into one-against-rest scores."""
 
@@ -103,13 +110,15 @@ class Model:
         names = sorted(set(languages))
         blocks, targets = [], []
         for text, language in zip(texts, languages):
-            found = passages_of(text)[:TRAIN_PASSAGES]
+            whole = passages_of(text)
+            found = [whole[i] for i in _drawn(len(whole), TRAIN_PASSAGES, text.encode("utf-8", "surrogatepass"))]
             blocks += found
             targets += [names.index(language)] * len(found)
         if not blocks:
             return cls([], np.zeros((SIZE, 0), np.float32), np.zeros(0, np.float32))
         targets = np.array(targets)
-        chosen = np.concatenate([np.flatnonzero(targets == c)[:LANDMARKS] for c in range(len(names))])
+        own = [np.flatnonzero(targets == c) for c in range(len(names))]
+        chosen = np.concatenate([places[_drawn(len(places), LANDMARKS, name.encode())] for name, places in zip(names, own)])
         landmarks = features([blocks[i] for i in chosen])
         values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
         whiten = vectors / np.sqrt(np.maximum(values, 1e-6))

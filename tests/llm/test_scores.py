@@ -39,6 +39,20 @@ def test_language_odd_rows(odd_documents, no_documents):
     assert {(r.lang_pred, r.score) for r in language.predict(plain, nothing).collect()} == {("und", 0.0)}
 
 
+def test_language_learns_from_whole_texts_and_drawn_landmarks(monkeypatch):
+    made = []
+    features = language.features
+    monkeypatch.setattr(language, "features", lambda passages: made.append(passages) or features(passages))
+    letter = lambda n: chr(0x4E00 + n)
+    text = "".join(letter(n) * language.PASSAGE for n in range(40))
+    texts = [text] + [letter(100 + n) * 50 for n in range(200)]
+    language.Model.fit(texts, ["a"] * len(texts))
+    landmarks = {int(p[0]) - 0x4E00 for p in made[0]}
+    learned = {int(p[0]) - 0x4E00 for passages in made[1:] for p in passages}
+    assert len(landmarks) == language.LANDMARKS and max(landmarks) > 100 + language.LANDMARKS
+    assert len(learned) == 208 and 7 < max(n for n in learned if n < 100)
+
+
 def test_language_kernel_counts_common_ngrams():
     a, b = language.points("abc"), language.points("abd")
     made = language.presence([a, b])
