@@ -163,4 +163,44 @@ STATEMENTS = {
                coalesce(outcome, CASE WHEN rate - 1.645 * sqrt(rate * (1 - rate) / (weight + 1)) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
         FROM p JOIN rated USING (host) LEFT JOIN fitting USING (page_id)
     """,
+    "op13_phrases": r"""
+        WITH pieces AS (
+            SELECT lang, row_number() OVER () AS piece_id, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+            FROM (
+                SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_split_to_array(
+                           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents
+            )
+        ),
+        totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
+        places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS place FROM pieces),
+        counts AS (
+            SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase, count(*) AS f
+            FROM places, range(1, 6) sizes(size)
+            WHERE place + size - 1 <= len(words)
+            GROUP BY ALL HAVING count(*) >= 100
+        ),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS words FROM counts WHERE size > 1),
+        inside AS (
+            SELECT DISTINCT lang, f, array_to_string(words[start:start + part - 1], ' ') AS phrase
+            FROM candidates, range(2, 5) parts(part), range(1, 5) starts(start)
+            WHERE part < size AND start + part - 1 <= size
+        ),
+        kept AS (
+            SELECT c.* FROM candidates c
+            WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND i.f >= c.f)
+        ),
+        cuts AS (
+            SELECT k.lang, k.phrase, k.f AS a, cut, x.f AS l, y.f AS r, n, ((1000::HUGEINT * k.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM kept k JOIN range(1, 5) parted(cut) ON cut < k.size
+            JOIN counts x ON x.lang = k.lang AND x.phrase = array_to_string(k.words[:cut], ' ')
+            JOIN counts y ON y.lang = k.lang AND y.phrase = array_to_string(k.words[cut + 1:], ' ')
+            JOIN totals t ON t.lang = k.lang
+        ),
+        weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """,
 }

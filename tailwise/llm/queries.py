@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html, language, lm, mix, near, quality, toxicity, urls
+from . import bpe, exact, html, language, lm, mix, nbsvm, near, phrases, quality, runs, toxicity, urls
 from .common import fold, read_table
 
 
@@ -105,6 +105,28 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; a fifth of the identifiers is held out of the learning."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out & F.col("doc_id").isNotNull())
+    model = nbsvm.fit(docs.filter(~held_out), labels)
+    scored = nbsvm.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which is given a periodic end."""
+    return runs.digests(read_table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_bpe": op2_bpe,
@@ -116,4 +138,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_urls": op10_urls,
+    "op11_nbsvm": op11_nbsvm,
+    "op12_runs": op12_runs,
+    "op13_phrases": op13_phrases,
 }
