@@ -3,16 +3,17 @@
 Counts come from suffix trees over words, cut at five words and partitioned vertically, so that no tree
 covers the corpus:
 
-1. Buckets. One pass counts words and pairs of neighbouring words in a fixed number of hash buckets, an
-   upper bound of every word's and pair's count. A phrase that is frequent enough lies in buckets that
-   are, so a suffix may be cut where a bucket is not. The counts are fixed in size whatever the corpus.
+1. Buckets. One pass counts words and pairs of neighbouring words in hash buckets, an upper bound of every
+   word's and pair's count. A phrase that is frequent enough lies in buckets that are, so a suffix may be
+   cut where a pair's bucket is not. One bit a bucket is sent to the tasks; the number of buckets follows
+   the corpus up to PAIR_BUCKETS, beyond which fewer suffixes are cut and the result is the same.
 2. Prefix groups. The buckets of first words are packed into groups within a budget of suffixes. A first
-   word above the budget is extended: its suffixes are packed by the bucket of their first two words, and
-   those of a pair above the budget are dealt by the whole suffix.
+   word above the budget is extended: its suffixes are dealt by their first two words, and those of a pair
+   above the budget by the whole suffix.
 3. Suffixes. Every place of the texts gives its suffix, cut; equal ones are counted within an Arrow batch
    before they are moved to their group.
-4. Subtrees. Each group builds its subtree on its own; leaves hold totals, and every inner node's count is
-   the sum of the leaves below. A phrase whose suffixes lie in several groups (above an extended prefix)
+4. Subtrees. Each group builds its subtree on its own, level by level as arrays: the nodes of a level are the
+   distinct prefixes of its leaves, and every node's count is the sum of the leaf totals below. A phrase whose suffixes lie in several groups (above an extended prefix)
    is added up over these.
 
 The rest is joins and windows over frequent phrases.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,9 +35,12 @@ from .common import returning, small_batches
 
 LONGEST = 5  # words of a phrase
 LEAST_COUNT = 100
-BUCKETS = 1 << 20  # of words, and of pairs
-CHUNK = 1 << 14  # buckets that are moved as one row
-BUDGET = 1_000_000  # suffixes of a group, before equal ones are counted
+BUCKETS = 1 << 18  # of words, and of pairs where sizes matter
+PAIR_BUCKETS = 1 << 27  # of pairs where only frequency matters, at most; a bit each
+BYTES_A_BUCKET = 64  # of text, for each of these
+CHUNK = 1 << 16  # buckets that are moved as one row
+BUDGET = 500_000  # suffixes of a group, before equal ones are counted
+HELD = 1 << 22  # pairs whose buckets a task holds before it passes them on
 UNKNOWN = "und"
 
 # Upper case is lowered, separators become a byte that UTF-8 never uses; it parts pieces as a token of its own.
@@ -52,14 +57,13 @@ class Tokens:
         found = pa.array([_CUT, *joined.split()], pa.large_binary()).dictionary_encode()
         self.words: list[bytes] = found.dictionary.to_pylist()
         self.places = found.indices.to_numpy().astype(np.int64)
-        self._hashes, self.word_bucket = _word_buckets(self.words, lang)
+        self.hashes, self.word_bucket = _word_buckets(self.words, lang)
         self.is_word = self.places != 0
 
-    def pair_buckets(self) -> tuple[np.ndarray, np.ndarray]:
-        """For every place but the last, the bucket of its word and the next, and whether both are words of a piece."""
-        hashes = self._hashes[self.places]
-        pairs = _mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
-        return (pairs % np.uint64(BUCKETS)).astype(np.int64), self.is_word[:-1] & self.is_word[1:]
+    def pair_hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """For every place but the last, a hash of its word and the next, and whether both are words of a piece."""
+        hashes = self.hashes[self.places]
+        return _pair_hashes(hashes[:-1], hashes[1:]), self.is_word[:-1] & self.is_word[1:]
 
 
 def _word_buckets(words: list[bytes], lang: str) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +78,14 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
+def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return _mixed(first * np.uint64(0x9E3779B97F4A7C15) + second)
+
+
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (hashes & np.uint64(buckets - 1)).astype(np.int64)
+
+
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, Tokens]]:
     """The tokens of each language of a batch with columns (lang, text)."""
     texts: dict[str, list[bytes]] = {}
@@ -83,103 +95,117 @@ def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, Tokens]]:
         yield lang, Tokens(listed, lang)
 
 
-def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's bucket counts in chunks, and its number of words by language."""
-    counts = np.zeros((2, BUCKETS), dtype=np.int64)
-    totals: dict[str, int] = {}
-    for batch in batches:
-        for lang, tokens in _by_language(batch):
-            occurrences = np.bincount(tokens.places, minlength=len(tokens.words))
-            totals[lang] = totals.get(lang, 0) + int(occurrences[1:].sum())
-            counts[0] += np.bincount(tokens.word_bucket[1:], occurrences[1:], minlength=BUCKETS).astype(np.int64)
-            pairs, inside = tokens.pair_buckets()
-            counts[1] += np.bincount(pairs[inside], minlength=BUCKETS)
-    chunks = counts.reshape(-1, CHUNK)
-    filled = [n for n in range(len(chunks)) if chunks[n].any()]
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array([*(None for _ in filled), *totals], pa.string()),
-            pa.array([*filled, *(-1 for _ in totals)], pa.int32()),
-            pa.array([*(_packed(chunks[n]) for n in filled), *(None for _ in totals)], pa.binary()),
-            pa.array([*(None for _ in filled), *totals.values()], pa.int64()),
-        ],
-        names=["lang", "chunk", "counts", "n"],
-    )
+WORDS, SIZED_PAIRS, PAIRS, TOTAL = 0, 1, 2, 3  # kinds of rows that the counting pass gives
+COUNTED = "kind int, chunk int, lang string, n long, places binary, counts binary"
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    """Counts as the narrowest numbers that hold them."""
-    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+def _chunks(kind: int, buckets: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
+    """Rows of sorted buckets and their counts, CHUNK buckets each."""
+    chunk = buckets // CHUNK
+    edges = np.flatnonzero(np.diff(chunk, prepend=-1, append=-1))
+    for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        part = counts[low:high]
+        size = np.uint8 if part.max() < 256 else np.uint64
+        yield kind, int(chunk[low]), None, int(high - low), (buckets[low:high] % CHUNK).astype(np.uint16).tobytes(), part.astype(size).tobytes()
 
 
-def _unpacked(content: bytes) -> np.ndarray:
-    return np.frombuffer(content, dtype=f"u{len(content) // CHUNK}").astype(np.int64)
+def _count(batches: Iterator[pa.RecordBatch], pair_buckets: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Bucket counts of a task, and its number of words by language."""
+    words, sized = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+    totals: dict[str, int] = {}
+    held: list[np.ndarray] = []
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
+        columns = list(zip(*rows)) or [[]] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "chunk", "lang", "n", "places", "counts"])
 
+    def pass_on() -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        # Only whether a bucket is frequent matters, so a count need not pass the least one.
+        return batch_of(list(_chunks(PAIRS, found.astype(np.int64), np.minimum(counts, min(least, 255)))))
 
-def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the chunks that reach a task; rows are added as they come."""
-    sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for chunk, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            made = _unpacked(content.as_py())
-            sums[chunk] = sums[chunk] + made if chunk in sums else made
+        for lang, tokens in _by_language(batch):
+            occurrences = np.bincount(tokens.places, minlength=len(tokens.words))
+            totals[lang] = totals.get(lang, 0) + int(occurrences[1:].sum())
+            words += np.bincount(tokens.word_bucket[1:], occurrences[1:], minlength=BUCKETS).astype(np.int64)
+            hashes, inside = tokens.pair_hashes()
+            sized += np.bincount(_bucket(hashes[inside], BUCKETS), minlength=BUCKETS)
+            held.append(_bucket(hashes[inside], pair_buckets).astype(np.uint32))
+        if sum(map(len, held)) >= HELD:
+            yield pass_on()
+    rows = [(TOTAL, -1, lang, n, None, None) for lang, n in totals.items()]
+    for kind, counts in ((WORDS, words), (SIZED_PAIRS, sized)):
+        some = np.flatnonzero(counts)
+        rows += _chunks(kind, some, counts[some])
+    yield batch_of(rows)
+    if held:
+        yield pass_on()
+
+
+def _add_chunks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Sums of the chunks that reach a task, added as they come; pairs' sums as a bit a bucket."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for kind, chunk, n, places, counts in zip(*(batch.column(c).to_pylist() for c in ("kind", "chunk", "n", "places", "counts"))):
+            total = sums.setdefault((kind, chunk), np.zeros(CHUNK, dtype=np.int64))
+            total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, f"u{len(counts) // n}").astype(np.int64)
+    made = [np.packbits(t >= least) if kind == PAIRS else t for (kind, _), t in sums.items()]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int32()), pa.array([_packed(s) for s in sums.values()], pa.binary())], names=["chunk", "counts"]
+        [pa.array([k for k, _ in sums], pa.int32()), pa.array([c for _, c in sums], pa.int32()), pa.array([m.tobytes() for m in made], pa.binary())],
+        names=["kind", "chunk", "content"],
     )
 
 
-def bucket_counts(passed: DataFrame) -> np.ndarray:
-    """Counts of words and of pairs by bucket, (2, BUCKETS): 16 MB at most, whatever the corpus."""
-    chunks = passed.filter("chunk >= 0").select("chunk", "counts")
-    parts = 2 * BUCKETS // CHUNK
-    added = chunks.repartition(min(parts, 32), "chunk").mapInArrow(_add_chunks, "chunk int, counts binary")
-    counts = np.zeros((parts, CHUNK), dtype=np.int64)
-    for row in added.collect():
-        counts[row["chunk"]] = _unpacked(row["counts"])
-    return counts.reshape(2, BUCKETS)
-
-
 class Groups:
-    """Which group holds the suffixes of a prefix: packed buckets of first words, or of pairs below a heavy word."""
-
-    def __init__(self, counts: np.ndarray, budget: int, least: int):
-        words, pairs = counts
-        self.frequent_word, self.frequent_pair = words >= least, pairs >= least
-        self.heavy = words > budget
-        self.of_word, n = self._pack(np.where(self.heavy | ~self.frequent_word, 0, words), budget, 0)
-        # Pairs below any heavy word share the groups of pairs; others never ask for theirs.
-        self.of_pair, self.n = (self._pack(np.where(self.frequent_pair, np.minimum(pairs, budget), 0), budget, n)) if self.heavy.any() else (self.of_word, n)
-        self.heavy_pair = pairs > budget
-
-    @staticmethod
-    def _pack(sizes: np.ndarray, budget: int, first: int) -> tuple[np.ndarray, int]:
-        """Neighbouring buckets fill a group up to about the budget."""
-        groups = (first + np.maximum(np.cumsum(sizes) - 1, 0) // budget).astype(np.int32)
-        return groups, int(groups[-1]) + 1
+    """What a task needs to cut suffixes and to choose their group; its size is bounded by the numbers of buckets."""
+
+    def __init__(self, counted: DataFrame, pair_buckets: int, budget: int, least: int):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _add_chunks(batches, min(least, 255))
+
+        chunks = counted.filter(F.col("kind") != TOTAL).select("kind", "chunk", "n", "places", "counts")
+        added = chunks.repartition(32, "kind", "chunk").mapInArrow(add, "kind int, chunk int, content binary")
+        words, pairs = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+        self.pair_buckets, self.frequent = pair_buckets, np.zeros(pair_buckets // 8, dtype=np.uint8)
+        for row in added.collect():
+            whole, kind = (words, pairs, self.frequent)[row["kind"]], (np.int64, np.int64, np.uint8)[row["kind"]]
+            content = np.frombuffer(row["content"], kind)
+            low = row["chunk"] * (CHUNK // 8 if row["kind"] == PAIRS else CHUNK)
+            whole[low : low + len(content)] = content[: len(whole) - low]
+        self.frequent_word = words >= least
+        self.heavy, self.heavy_pair = words > budget, pairs > budget
+        sizes = np.where(self.heavy | ~self.frequent_word, 0, words)
+        self.of_word = (np.maximum(np.cumsum(sizes) - 1, 0) // budget).astype(np.int32)
+        self.first = int(self.of_word[-1]) + 1  # the groups of heavy words come after
+        self.more = max(1, int(words[self.heavy].sum()) // budget)
+
+    def frequent_pair(self, hashes: np.ndarray) -> np.ndarray:
+        bucket = _bucket(hashes, self.pair_buckets)
+        return (self.frequent[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 > 0
 
 
 def _cut_suffixes(tokens: Tokens, groups: Groups, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first words, lengths, groups) of all suffixes: where they begin, how many words stay, where they go."""
+    """Where suffixes begin, how many words stay, and their group (-1: by the whole suffix)."""
     frequent = groups.frequent_word[tokens.word_bucket]
     frequent[0] = False
-    pairs, inside = tokens.pair_buckets()
-    linked = inside & groups.frequent_pair[pairs]
+    hashes, inside = tokens.pair_hashes()
+    linked = np.concatenate([inside & groups.frequent_pair(hashes), np.zeros(longest, dtype=bool)])
     start = np.flatnonzero(frequent[tokens.places])
-    linked = np.concatenate([linked, np.zeros(longest, dtype=bool)])
     length = np.ones(len(start), dtype=np.int64)
     going = np.ones(len(start), dtype=bool)
     for ahead in range(longest - 1):
         going &= linked[start + ahead]
         length += going
     bucket = tokens.word_bucket[tokens.places[start]]
-    heavy = groups.heavy[bucket]
-    pair = np.concatenate([pairs, [0]])[start]
-    group = groups.of_word[bucket]
-    # A heavy word alone has one leaf, which stays with the first group of pairs.
-    below = heavy & (length > 1)
-    group = np.where(below, groups.of_pair[pair], group)
-    spread = below & groups.heavy_pair[pair]
-    return start, length, np.where(spread, -1, group)
+    pair = np.concatenate([hashes, np.zeros(1, dtype=np.uint64)])[start]
+    # A heavy word on its own is one leaf in a batch.
+    below = groups.heavy[bucket] & (length > 1)
+    dealt = groups.first + (pair % np.uint64(groups.more)).astype(np.int64)
+    dealt = np.where(groups.heavy_pair[_bucket(pair, BUCKETS)], -1, dealt)
+    return start, length, np.where(below, dealt, groups.of_word[bucket])
 
 
 def _leaves(tokens: Tokens, groups: Groups, longest: int) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -193,17 +219,17 @@ def _leaves(tokens: Tokens, groups: Groups, longest: int) -> tuple[list[str], np
         following = np.where(length > ahead, padded[start + ahead], 0)
         codes = np.unique(codes * len(tokens.words) + following, return_inverse=True)[1]
     _, first, number = np.unique(codes, return_index=True, return_counts=True)
-    words, places = tokens.words, tokens.places
-    listed = [b" ".join([words[w] for w in places[s : s + n].tolist()]).decode() for s, n in zip(start[first].tolist(), length[first].tolist())]
+    words, places = tokens.words, tokens.places.tolist()
+    listed = [b" ".join([words[w] for w in places[s : s + n]]).decode() for s, n in zip(start[first].tolist(), length[first].tolist())]
     chosen = group[first]
     for n in np.flatnonzero(chosen < 0).tolist():
-        chosen[n] = zlib.crc32(listed[n].encode()) % groups.n
+        chosen[n] = groups.first + zlib.crc32(listed[n].encode()) % groups.more
     return listed, number, chosen
 
 
 def suffixes(texts: DataFrame, groups: Groups, longest: int = LONGEST) -> DataFrame:
     """Cut suffixes of (lang, text) rows with their number within a batch, as (grp, lang, suffix, n)."""
-    shared = texts.sparkSession.sparkContext.broadcast(groups)  # fixed in size by BUCKETS
+    shared = texts.sparkSession.sparkContext.broadcast(groups)  # bounded by the numbers of buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,44 +244,55 @@ def suffixes(texts: DataFrame, groups: Groups, longest: int = LONGEST) -> DataFr
 
 
 class Subtree:
-    """A suffix tree over words of one prefix group and language: leaves hold totals, nodes their sums."""
-
-    def __init__(self):
-        self.root: dict = {}
-
-    def add(self, words: list[str], total: int) -> None:
-        """Put a suffix with its number at its leaf (an inner node, if longer suffixes pass it)."""
-        node = self.root
-        for word in words[:-1]:
-            node = node.setdefault(word, [0, {}])[1]
-        node.setdefault(words[-1], [0, {}])[0] += total
-
-    def counts(self, node: dict | None = None, prefix: str = "") -> Iterator[tuple[str, int, int]]:
-        """(phrase, words, count) of every node; depth is that of a phrase, so recursion is shallow."""
-        for word, (total, below) in (self.root if node is None else node).items():
-            phrase = f"{prefix} {word}" if prefix else word
-            depth = phrase.count(" ") + 1
-            for longer, n, count in self.counts(below, phrase):
-                if n == depth + 1:
-                    total += count
-                yield longer, n, count
-            yield phrase, depth, total
-
-
-def _build(part: pa.Table, heavy: np.ndarray, least: int) -> pa.Table:
+    """A suffix tree over words of one prefix group and language, cut at ``longest`` words.
+
+    It is kept as arrays, a level at a time: row n of ``words`` is the n-th leaf's words, 0 after its end.
+    """
+
+    def __init__(self, suffixes: pa.Array, totals: np.ndarray):
+        listed = pc.split_pattern(suffixes, " ")
+        length = pc.list_value_length(listed).to_numpy(zero_copy_only=False)
+        found = pc.list_flatten(listed).dictionary_encode()
+        self.names: list[str] = found.dictionary.to_pylist()
+        self.words = np.zeros((len(suffixes), int(length.max())), dtype=np.int32)
+        row = np.repeat(np.arange(len(suffixes)), length)
+        self.words[row, np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)] = found.indices.to_numpy() + 1
+        self.length, self.totals = length, totals
+
+    def levels(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(depth, a leaf below each node, counts) of the nodes of every level, from leaf totals."""
+        leaf, node = np.arange(len(self.length)), np.zeros(len(self.length), dtype=np.int64)
+        for depth in range(1, self.words.shape[1] + 1):
+            alive = self.length[leaf] >= depth
+            leaf, node = leaf[alive], node[alive]
+            key = node * (len(self.names) + 1) + self.words[leaf, depth - 1]
+            _, first, node = np.unique(key, return_index=True, return_inverse=True)
+            # Sums of whole numbers below 2^53 are exact in doubles.
+            yield depth, leaf[first], np.bincount(node, self.totals[leaf]).astype(np.int64)
+
+    def phrase(self, leaf: int, depth: int) -> str:
+        return " ".join([self.names[w - 1] for w in self.words[leaf, :depth].tolist()])
+
+
+def _build(part: pa.Table, heavy: np.ndarray, heavy_pair: np.ndarray, least: int) -> pa.Table:
     """Counts of the phrases in one group's subtrees; those below ``least`` go where no other group adds to them."""
-    trees: dict[str, Subtree] = {}
-    for lang, suffix, n in zip(part.column("lang").to_pylist(), part.column("suffix").to_pylist(), part.column("n").to_pylist()):
-        trees.setdefault(lang, Subtree()).add(suffix.split(" "), n)
-    rows = []
-    for lang, tree in trees.items():
-        first = list(tree.root)
-        extended = dict(zip(first, heavy[_word_buckets([w.encode() for w in first], lang)[1]].tolist()))
-        rows += [(lang, p, n, count) for p, n, count in tree.counts() if count >= least or extended[p.split(" ", 1)[0]]]
-    columns = list(zip(*rows)) or [[], [], [], []]
-    return pa.table(
-        {"lang": pa.array(columns[0], pa.string()), "phrase": pa.array(columns[1], pa.string()), "words": pa.array(columns[2], pa.int32()), "f": pa.array(columns[3], pa.int64())}
-    )
+    langs, phrases, depths, counts = [], [], [], []
+    for lang in pc.unique(part.column("lang")).to_pylist():
+        own = part.filter(pc.equal(part.column("lang"), lang))
+        tree = Subtree(own.column("suffix").combine_chunks(), own.column("n").to_numpy())
+        hashes, bucket = _word_buckets([w.encode() for w in tree.names], lang)
+        for depth, leaf, count in tree.levels():
+            first = tree.words[leaf, 0] - 1
+            spread = heavy[bucket[first]]  # other groups may hold suffixes of the node's prefix
+            if depth > 1:
+                pair = _pair_hashes(hashes[first], hashes[tree.words[leaf, 1] - 1])
+                spread &= heavy_pair[_bucket(pair, BUCKETS)]
+            kept = np.flatnonzero((count >= least) | spread)
+            phrases += [tree.phrase(n, depth) for n in leaf[kept].tolist()]
+            counts += count[kept].tolist()
+            depths += [depth] * len(kept)
+            langs += [lang] * len(kept)
+    return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "words": pa.array(depths, pa.int32()), "f": pa.array(counts, pa.int64())})
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
@@ -265,13 +302,19 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONG
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text"))
-    passed = materialise(texts.mapInArrow(returning(_count_buckets), "lang string, chunk int, counts binary, n long"), "phrase-buckets")
-    totals = passed.filter("chunk < 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    groups = Groups(bucket_counts(passed), budget, least)
-    heavy = groups.heavy
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    pair_buckets = 1 << max(CHUNK.bit_length(), min(PAIR_BUCKETS.bit_length() - 1, (size // BYTES_A_BUCKET).bit_length()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count(batches, pair_buckets, least)
+
+    passed = materialise(texts.mapInArrow(returning(count), COUNTED), "phrase-buckets")
+    totals = passed.filter(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("n").alias("n"))
+    groups = Groups(passed, pair_buckets, budget, least)
+    heavy, heavy_pair = groups.heavy, groups.heavy_pair
 
     def build(part: pa.Table) -> pa.Table:
-        return _build(part, heavy, least)
+        return _build(part, heavy, heavy_pair, least)
 
     leaves = suffixes(texts, groups, longest)
     nodes = leaves.groupBy("grp").applyInArrow(build, "lang string, phrase string, words int, f long")
