@@ -13,11 +13,14 @@ from ..functions.vocabulary import SHORT_TERMS, extend
 from ..operators import (
     analytics, chainladder, claims, dashboards, diagnostics, metrics, quality, risk, triangle,
 )
-from ..schemas import CLAIM_STATUSES, LOSS_TYPES, REQUIRED_CLAIM_COLUMNS, conform
+from ..schemas import CLAIM_STATUSES, LOSS_TYPES, REQUIRED_CLAIM_COLUMNS, conform, contract
 from ..session import fresh_path
 from ..sources import files
 from ..streaming import cells as stream_cells
+from ..streaming import expectations as stream_expectations
 from ..streaming import ingest
+from ..streaming.triangles import TriangleStore
+from ..streaming.versions import KeyedTable
 from . import tables
 from .inputs import AS_OF, SCALE, Inputs, joined_text, shown
 
@@ -1223,6 +1226,87 @@ def streamed_cells(x: Inputs) -> DataFrame:
     return shown(cells, p4=["incremental_value", "cumulative_value"])
 
 
+def _judged_payments(x: Inputs) -> str:
+    """The folder into which two drops of payments were judged, one batch each."""
+    target, state = fresh_path(x.spark, "judged"), fresh_path(x.spark, "state")
+
+    def run(source: str) -> None:
+        stream_expectations.ingest_judged(x.spark, "payments", source, target, state, "parquet")
+
+    _two_drops(x, run)
+    return target
+
+
+@query
+def stream_quarantine(x: Inputs) -> DataFrame:
+    """The payments a stream has quarantined, by batch, with the rules they violate."""
+    rows = stream_expectations.quarantined(x.spark, _judged_payments(x))
+    return joined_text(rows, "violated").select("batch", "violated", *_PAYMENT_OUT)
+
+
+@query
+def stream_expectation_counts(x: Inputs) -> DataFrame:
+    """Rows read, accepted and quarantined of every batch of the payment stream."""
+    return stream_expectations.batch_counts(x.spark, _judged_payments(x))
+
+
+def _sent_twice(x: Inputs) -> KeyedTable:
+    """Claims in two batches: all of them, then all again a day later with open ones closed and some withdrawn."""
+    table = KeyedTable(x.spark, fresh_path(x.spark, "claim-versions"), "claim_id", contract("claims"))
+    first = _raw_claims(x)
+    later = first.withColumns(
+        {
+            "claim_status": F.when(F.col("claim_status") == "Open", "Closed").otherwise(F.col("claim_status")),
+            "updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAY"),
+        }
+    )
+    table.append(first, 0)
+    table.append(later, 1, F.col("claim_id").cast("long") % 50 == 0)
+    # The first versions come once more, late: they are older than what is known.
+    table.append(first, 2)
+    return table
+
+
+@query
+def claim_versions(x: Inputs) -> DataFrame:
+    """The newest version of every claim that was not withdrawn."""
+    return _sent_twice(x).current().select("claim_id", "loss_type", "claim_status", "loss_date", F.to_date("updated_at").alias("updated_on"))
+
+
+@query
+def versioned_cells(x: Inputs) -> DataFrame:
+    """Cells of payments joined with the newest versions of their claims, after a compaction."""
+    table = _sent_twice(x)
+    table.compact()
+    table.vacuum()
+    payments = x.payments().withColumn("claim_id", F.col("claim_id").cast("string"))
+    cells = triangle.paid_cells(payments, table.current(), ["loss_type"], scale=SCALE)
+    return shown(cells, p4=["incremental_value", "cumulative_value"])
+
+
+@query
+def maintained_cells(x: Inputs) -> DataFrame:
+    """Cells kept current by two streams: payments before their claims, late payments, claims that change."""
+    store = TriangleStore(x.spark, fresh_path(x.spark, "store"), scale=SCALE)
+    claims_in, payment_state, claim_state = (fresh_path(x.spark, n) for n in ("claims-in", "state", "state"))
+    raw = _raw_claims(x)
+    # A third of the claims first comes as a theft of an earlier year.
+    wrong = raw.withColumns({"loss_type": F.lit("Theft"), "loss_date": F.add_months("loss_date", -24)})
+    key = F.col("claim_id").cast("long") % 3
+    later = raw.withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 DAY"))
+    drops = iter([wrong.filter(key == 0).unionByName(raw.filter(key == 1)), later.filter(key != 1)])
+
+    def run(source: str) -> None:
+        payments = ingest.valid_stream(x.spark, "payments", source, "parquet")
+        store.keep_payments(payments, payment_state).awaitTermination()
+        _drop_files(next(drops), claims_in, "parquet")
+        claims = ingest.valid_stream(x.spark, "claims", claims_in, "parquet")
+        store.keep_claims(claims, claim_state).awaitTermination()
+
+    _two_drops(x, run)
+    return shown(store.cells(), p4=["incremental_value", "cumulative_value"])
+
+
 @query
 def triangle_store_partition(x: Inputs) -> DataFrame:
     """Write the triangle partitioned by type and loss type, then read one partition back."""

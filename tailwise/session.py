@@ -60,3 +60,38 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(conf), place
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if it does not exist."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has been committed."""
+    return has_mark(spark, path, "_SUCCESS")
+
+
+def has_mark(spark: SparkSession, path: str, name: str) -> bool:
+    system, place = _file_system(spark, f"{path}/{name}")
+    return system.exists(place)
+
+
+def set_mark(spark: SparkSession, path: str, name: str) -> None:
+    """Leave an empty file that later runs find; readers of tables skip names that begin with ``_``."""
+    system, place = _file_system(spark, f"{path}/{name}")
+    system.create(place, True).close()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
