@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import band, count_when, money_text, percent_text, sum_when
+from ..session import materialise
 from .claims import older_than
 from .metrics import adequacy_status
 from .percentiles import grouped_median
@@ -308,7 +309,11 @@ def claims_by_catastrophe(scored: DataFrame) -> DataFrame:
 
 
 def claim_size_trend(claims: DataFrame) -> DataFrame:
-    """Count, mean, exact median and maximum of the incurred amount per origin year."""
+    """Count, mean, exact median and maximum of the incurred amount per origin year.
+
+    The two columns are written once, because the median looks at them more than once.
+    """
+    claims = materialise(claims.select("origin_year", "incurred_amount"), "claim-sizes")
     stats = claims.groupBy("origin_year").agg(
         F.count(F.lit(1)).alias("claim_count"),
         F.avg("incurred_amount").alias("avg_incurred"),

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rounded
 from ..operators import chainladder, claims, metrics, risk, triangle
+from ..session import materialise
 from ..sources import tables
 
 # Valuation date of the test data, and the decimals its amounts have.
@@ -27,6 +28,7 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self._raw: dict[str, DataFrame] = {}
+        self._once: Once | None = None
 
     def table(self, name: str) -> DataFrame:
         if name not in self._raw:
@@ -81,6 +83,12 @@ class Inputs:
     def pattern_flagged(self) -> DataFrame:
         return self._with_payments(risk.flag_patterns(tables.claims(self.table)), False)
 
+    def once(self) -> Once:
+        """The same inputs for queries that use cells and claims several times; see :class:`Once`."""
+        if self._once is None:
+            self._once = Once(self.spark, self.sf_dir)
+        return self._once
+
     def loading(self) -> DataFrame:
         return chainladder.risk_loading_factor(
             risk.risk_summary(self.classified(), ["loss_type"], detail="classified")
@@ -93,6 +101,50 @@ class Inputs:
         return metrics.reserve_summary_by_segment(self.estimates(), self.loading(), AS_OF)
 
 
+class Once(Inputs):
+    """Inputs that read the payments once: claim-days, cells and classified claims are written and read again.
+
+    Worth it for queries that use them three times or more; with two uses a second scan costs less than the write.
+
+    Classified claims are those with a text, which they then no longer carry.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self._kept: dict[str, DataFrame] = {}
+
+    def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._kept:
+            self._kept[name] = materialise(build(), name)
+        return self._kept[name]
+
+    def once(self) -> Once:
+        return self
+
+    def days(self) -> DataFrame:
+        return self._keep("claim-days", lambda: triangle.claim_days(self.payments()))
+
+    def cells(self, segments: Iterable[str] = ("loss_type",), **options) -> DataFrame:
+        segments = list(segments)
+        if options or segments != ["loss_type"]:
+            options.setdefault("scale", SCALE)
+            return triangle.paid_cells(self.days(), self.claims(), segments, fold_days=False, **options)
+        return self._keep("cells", lambda: triangle.paid_cells(self.days(), self.claims(), segments, scale=SCALE, fold_days=False))
+
+    def enriched(self, places: bool = False) -> DataFrame:
+        return claims.enrich_claims(self.claims(places), self.days(), scale=SCALE)
+
+    def _with_payments(self, mapped: DataFrame, places: bool) -> DataFrame:
+        return claims.enrich_claims(self._placed(mapped, places), self.days(), scale=SCALE)
+
+    def classified(self, places: bool = False) -> DataFrame:
+        def build() -> DataFrame:
+            judged = risk.classify_claims(tables.claims(self.table)).drop("adjuster_notes", "loss_description")
+            return self._with_payments(judged, places)
+
+        return self._keep(f"classified-{places}", build)
+
+
 def shown(df: DataFrame, **places: Iterable[str] | str) -> DataFrame:
     """Round result columns: ``shown(df, p2="ibnr", p6=["cv"])`` rounds to 2 and 6 decimals."""
     for key, columns in places.items():

@@ -810,18 +810,19 @@ def summary_metrics(x: Inputs) -> DataFrame:
 @query
 def metric_values(x: Inputs) -> DataFrame:
     """All metrics of the catalogue over the whole book, with unit and band."""
-    summary = x.summary()
-    totals = x.total_estimates().agg(
+    once = x.once()
+    summary = once.summary()
+    totals = once.total_estimates().agg(
         F.sum("ultimate_loss").alias("ultimate_loss"), F.sum("latest_cumulative").alias("latest_cumulative")
     )
-    steps = x.links().filter(F.col("link_ratio").isNotNull()).agg(
+    steps = once.links().filter(F.col("link_ratio").isNotNull()).agg(
         F.sum("next_value").alias("next_value"), F.sum("cumulative_value").alias("cumulative_value")
     )
-    losses = x.enriched().agg(F.sum("incurred_amount").alias("incurred_loss"))
+    losses = once.enriched().agg(F.sum("incurred_amount").alias("incurred_loss"))
     premium = x.table("orders").agg(F.sum("o_totalprice").cast("double").alias("earned_premium"))
     inputs = {
         "reserve_adequacy": summary, "reserve_margin": summary, "risk_adjusted_ibnr": summary,
-        "ibnr": totals, "development_factor": steps, "high_risk_exposure": x.classified(),
+        "ibnr": totals, "development_factor": steps, "high_risk_exposure": once.classified(),
         "loss_ratio": losses.crossJoin(premium),  # one row each
     }
     rows = [metrics.metric_value(name, row) for name, row in inputs.items()]
@@ -830,8 +831,9 @@ def metric_values(x: Inputs) -> DataFrame:
 
 @query
 def reserve_alerts(x: Inputs) -> DataFrame:
-    recomputed = metrics.reserve_adequacy_recomputed(x.segment_summary())
-    raised = metrics.alerts(recomputed, risk.portfolio_findings(x.classified()))
+    once = x.once()
+    recomputed = metrics.reserve_adequacy_recomputed(once.segment_summary())
+    raised = metrics.alerts(recomputed, risk.portfolio_findings(once.classified()))
     return shown(raised, p4="value")
 
 

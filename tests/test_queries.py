@@ -21,6 +21,8 @@ FAMILIES = [
     "risk_entity_breakdown", "risk_exposure", "standard_vs_high_risk_fit", "streamed_cells",
     "triangle_densified", "triangle_long_store", "triangle_quality", "top_high_risk_claims",
     "payments_outside_window", "triangle_monthly", "triangle_quality_quarterly", "expected_values_with_holes",
+    "metric_values", "stream_quarantine", "stream_expectation_counts", "claim_versions", "versioned_cells",
+    "maintained_cells", "boardroom", "kpi_counters",
     "adequacy_without_held", "orphan_payments", "triangle_completeness",
 ]
 CHOSEN = entry.oracle_sql() if os.environ.get("ALL_QUERIES") else FAMILIES

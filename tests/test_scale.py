@@ -34,7 +34,35 @@ def test_payments_are_read_once(spark, name):
     assert len(re.findall(r"FileScan parquet \[l_", text)) == 1, text
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"claims_stream_ingest", "payments_stream_ingest", "streamed_cells", "derived_tables"}))
+# These write claim-days, cells and claims once and read them from there: no scan of the payments is left.
+WRITTEN_ONCE = ["metric_values", "reserve_alerts", "claim_size_trend"]
+
+
+@pytest.mark.parametrize("name", WRITTEN_ONCE)
+def test_payments_are_read_once_when_written(spark, name, monkeypatch):
+    from tailwise.operators import dashboards
+    from tailwise.plans import inputs
+
+    scans = []
+
+    def counting(df, label, kept=inputs.materialise):
+        scans.append(len(re.findall(r"FileScan parquet \[l_", plan(df))))
+        return kept(df, label)
+
+    monkeypatch.setattr(inputs, "materialise", counting)
+    monkeypatch.setattr(dashboards, "materialise", counting)
+    text = plan(QUERIES[name](Inputs(spark, SF)))
+    assert "FileScan parquet [l_" not in text, text
+    assert sum(scans) == 1, scans
+
+
+STREAMED = {
+    "claims_stream_ingest", "payments_stream_ingest", "streamed_cells", "derived_tables", "stream_quarantine",
+    "stream_expectation_counts", "claim_versions", "versioned_cells", "maintained_cells",
+}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMED))
 def test_no_python_and_no_products_of_large_inputs(spark, name):
     text = plan(QUERIES[name](Inputs(spark, SF)))
     assert "EvalPython" not in text and "InPandas" not in text
@@ -46,7 +74,7 @@ def test_no_python_and_no_products_of_large_inputs(spark, name):
         "risk_loaded_estimates", "reserve_summary", "reserve_summary_held", "reserve_adequacy_view",
         "reserve_adequacy_recomputed", "executive_dashboard", "summary_metrics", "reserve_alerts",
         "kpi_counters", "executive_summary", "adequacy_by_loss_type", "boardroom", "total_ibnr",
-        "deficient_loss_types",
+        "deficient_loss_types", "metric_values",
     )
 
 
