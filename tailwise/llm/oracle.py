@@ -86,12 +86,7 @@ STATEMENTS = {
             WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
         ),
         doubled AS (SELECT row_id, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines FROM lines GROUP BY row_id),
-        hosts AS (SELECT source, count(DISTINCT md5(text)) AS n_host FROM d GROUP BY source),
-        frequent AS (
-            SELECT l.source, norm FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-            GROUP BY l.source, norm, n_host
-            HAVING count(DISTINCT text_hash) > 20 AND count(DISTINCT text_hash) > 0.1::DOUBLE * n_host
-        ),
+        frequent AS (SELECT source, norm FROM lines GROUP BY source, norm HAVING count(DISTINCT text_hash) > 20),
         removed AS (
             SELECT row_id, sum(words) AS n_removed
             FROM lines l JOIN frequent f ON l.source IS NOT DISTINCT FROM f.source AND l.norm = f.norm GROUP BY row_id

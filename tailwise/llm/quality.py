@@ -2,8 +2,9 @@
 
 Per document, in one pass over its text: words, their characters, symbols, repeated lines, words in
 repeated windows. Across documents, per host: every normalised line is hashed, the distinct
-documents that hold it are counted (documents with equal texts count once), lines above the limit are
-taken out, and a document left with too little is rejected.
+documents that hold it are counted (documents with equal texts count once: a document is no boilerplate
+for having been copied), lines above the limit are taken out, and a document left with too little is
+rejected. The limit is a number of documents, the same for a host of any size.
 
 The per-document measures and the line hashes are written once, so the text is read once. Windows are
 compared inside the row: hashes are sorted only in documents that repeat a window at all. Line counts
@@ -25,9 +26,7 @@ WINDOW = 8
 
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
-# A line is above the limit of its host if more documents hold it than both of these allow.
-LINE_DOCS = 20
-LINE_SHARE = 0.1
+LINE_DOCS = 20  # a line that more documents of its host hold is above the limit
 # A document needs this share of its words outside such lines.
 WORDS_LEFT = 0.3
 
@@ -90,25 +89,22 @@ def measures(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(measured: DataFrame, line_docs: int, line_share: float) -> DataFrame:
-    """(source, hash) of the lines above their host's limit."""
+def frequent_lines(measured: DataFrame, line_docs: int) -> DataFrame:
+    """(source, hash) of the lines above the limit of their host."""
     held = measured.select("source", "text_hash", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash"))
     counts = held.groupBy("source", "hash", "text_hash").agg(F.lit(1).alias("one")).groupBy("source", "hash").agg(F.count("*").alias("n_docs"))
-    hosts = measured.groupBy("source", "text_hash").agg(F.lit(1).alias("one")).groupBy("source").agg(F.count("*").alias("n_host"))
-    hosts = hosts.withColumnRenamed("source", "_s")
-    above = counts.filter(F.col("n_docs") > line_docs).join(hosts, F.col("source").eqNullSafe(F.col("_s")))
-    return above.filter(F.col("n_docs") > line_share * F.col("n_host")).select("source", "hash", "n_docs")
+    return counts.filter(F.col("n_docs") > line_docs)
 
 
-def assess(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, words_left: float = WORDS_LEFT) -> DataFrame:
+def assess(docs: DataFrame, line_docs: int = LINE_DOCS, words_left: float = WORDS_LEFT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, source as the host, text) with counts and verdict.
 
     ``n_left`` are the words outside lines above the limit. A null or empty text has no words and fails;
-    a null source is a host of its own; repeated rows are judged alike; an empty table gives an empty
-    result; other columns are ignored.
+    a null source is a host of its own; repeated rows are judged alike; texts may be of any length; an empty
+    table gives an empty result; other columns are ignored.
     """
     measured = materialise(measures(docs), "quality-measures")
-    frequent = frequent_lines(measured, line_docs, line_share).withColumnRenamed("source", "_s").withColumnRenamed("hash", "_h")
+    frequent = frequent_lines(measured, line_docs).withColumnRenamed("source", "_s").withColumnRenamed("hash", "_h")
     lines = measured.select("row_id", "source", F.explode("lines").alias("line"))
     lines = lines.select("row_id", "source", F.col("line.hash").alias("hash"), F.col("line.words").alias("words"))
     met = lines.join(frequent, F.col("source").eqNullSafe(F.col("_s")) & (F.col("hash") == F.col("_h")))

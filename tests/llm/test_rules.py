@@ -76,6 +76,16 @@ def test_frequent_lines_deplete(spark):
     assert all(got[100 + n].n_left == got[100 + n].n_words for n in range(15))
 
 
+@pytest.mark.parametrize("n_clean", [0, 100, 700])
+def test_clean_documents_do_not_let_boilerplate_through(spark, n_clean):
+    lines = "\n".join(["accept all cookies and read our terms before you go on", "share this page with your friends on every network"])
+    rows = [(n, "h", f"{lines}\nonly {n}a here") for n in range(60)]
+    rows += [(1000 + n, "h", f"a clean text number {n} that says what no other one of this host says, twenty words or more, w{n} x{n} y{n} z{n}") for n in range(n_clean)]
+    got = {r.doc_id: r for r in quality.assess(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert {got[n].n_left for n in range(60)} == {3} and not any(got[n].kept for n in range(60))
+    assert all(got[1000 + n].kept and got[1000 + n].n_left == got[1000 + n].n_words for n in range(n_clean))
+
+
 def test_quality_odd_rows(odd_documents, no_documents):
     rows = quality.assess(odd_documents).collect()
     assert len(rows) == 10 and not any(r.kept for r in rows)
