@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,9 +176,11 @@ def _signed(batches: Iterator[pa.RecordBatch], trees: int, length: int) -> Itera
                 signatures[n] = forest.signature(shingles)
         labels = forest.labels(signatures)
         listed = pa.ListArray.from_arrays(pa.array(np.arange(0, labels.size + 1, trees), pa.int32()), pa.array(labels.ravel()))
+        ids, texts = batch.column("doc_id"), batch.column("text")
+        unnumbered = pc.if_else(pc.is_null(ids), texts, pa.scalar(None, texts.type))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), listed],
-            names=["doc_id", "set_key", "n_shingles", "labels"],
+            [ids, pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), listed, unnumbered],
+            names=["doc_id", "set_key", "n_shingles", "labels", "unnumbered"],
         )
 
 
@@ -354,21 +357,13 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, recall: float = RECALL) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): its class of linked texts and how many it is linked to.
-
-    Columns: ``doc_id``, ``class_id`` (the smallest doc_id of the class), ``n_links`` (other rows whose
-    similarity is at least the threshold, copies included), ``n_shingles``. Words are compared with A-Z
-    lower-cased. Null, empty and blank texts have no shingle and no link: their class is their own
-    doc_id. Null identifiers are allowed; a class of nothing else has a null class_id. Repeated rows are
-    copies of each other. Texts may be of any length; an empty table gives an empty result; other
-    columns are ignored.
-    """
+def _classified(docs: DataFrame, similarity: float, trees: int, recall: float) -> DataFrame:
+    """The rows of :func:`near_duplicates`, with ``class_key``, equal within a class, and the ``unnumbered`` texts."""
     length = prefix_length(similarity, trees, recall)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     signed = rows.mapInArrow(
         returning(lambda batches: _signed(batches, trees, length)),
-        "doc_id long, set_key binary, n_shingles long, labels array<long>",
+        "doc_id long, set_key binary, n_shingles long, labels array<long>, unnumbered string",
     )
     signed = materialise(signed, "near-signed")
     classes = signed.filter("n_shingles > 0").groupBy("set_key").agg(
@@ -390,31 +385,58 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, trees: int
     units = materialise(units, "near-units")
 
     wanted = units.select("set_key").distinct().join(classes, "set_key")
-    texts = rows.join(wanted.withColumnRenamed("rep_id", "doc_id"), "doc_id").drop("doc_id")
+    texts = rows.join(wanted.filter("rep_id IS NOT NULL").withColumnRenamed("rep_id", "doc_id"), "doc_id").drop("doc_id")
+    # Classes without any identifier bring their text along, one of their equal sets.
+    nameless = wanted.filter("rep_id IS NULL").drop("rep_id")
+    own = signed.filter("doc_id IS NULL").join(nameless, "set_key", "left_semi").groupBy("set_key").agg(F.first("unnumbered").alias("text"))
+    texts = texts.unionByName(nameless.join(own, "set_key"))
     ready = units.join(texts, "set_key").repartition(*UNIT).sortWithinPartitions(*UNIT)
     links = ready.mapInArrow(returning(_verify(similarity)), "set_key binary, n_links long, root binary")
     links = materialise(links, "near-links")
 
     joined = components(links.filter("set_key <> root").select(F.col("set_key").alias("a"), F.col("root").alias("b")))
     ids = classes.join(joined, classes["set_key"] == joined["node"]).groupBy("component").agg(F.min("rep_id").alias("class_id"))
-    linked = joined.join(ids, "component").select(F.col("node").alias("set_key"), "class_id")
+    linked = joined.join(ids, "component").select(F.col("node").alias("set_key"), "class_id", "component")
     totals = links.groupBy("set_key").agg(F.sum("n_links").alias("far"))
     known = classes.select("set_key", "copies", "rep_id").join(linked, "set_key", "left").join(totals, "set_key", "left")
-    known = known.select("set_key", F.coalesce("class_id", "rep_id").alias("class_id"), (F.coalesce("far", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = known.select("set_key", F.coalesce("class_id", "rep_id").alias("class_id"), F.coalesce("component", "set_key").alias("class_key"), (F.coalesce("far", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return signed.join(known, "set_key", "left").select(
         "doc_id",
         F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "n_shingles",
+        "class_key",
+        "unnumbered",
     )
 
 
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, recall: float = RECALL) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): its class of linked texts and how many it is linked to.
+
+    Columns: ``doc_id``, ``class_id`` (the smallest doc_id of the class), ``n_links`` (other rows whose
+    similarity is at least the threshold, copies included), ``n_shingles``. Words are compared with A-Z
+    lower-cased. Null, empty and blank texts have no shingle and no link: their class is their own
+    doc_id. Null identifiers are allowed; a class of nothing else has a null class_id. Repeated rows are
+    copies of each other. Texts may be of any length; an empty table gives an empty result; other
+    columns are ignored.
+    """
+    found = _classified(docs, similarity, trees, recall)
+    return found.select("doc_id", "class_id", "n_links", "n_shingles")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows whose identifier names their class: one document of each class stays, with all columns.
+    """One document of each class stays, with all columns: the one whose identifier names the class.
 
-    Identifiers must be unique within equal texts: rows that repeat both stay or go together (take
-    exact copies out first).
+    In a class without identifiers the row with the smallest text hash stays, and rows without identifier
+    and shingle all stay. Identifiers must be unique within equal texts, and rows without one must differ in
+    text: rows that repeat both stay or go together (take exact copies out first).
     """
-    found = near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    found = materialise(_classified(docs, SIMILARITY, TREES, RECALL), "near-found")
+    kept = found.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_kept")).distinct()
+    numbered = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    digest = lambda text: F.sha2(F.coalesce(text, F.lit("")), 256)
+    nameless = found.filter("doc_id IS NULL AND class_id IS NULL").withColumn("_digest", digest(F.col("unnumbered")))
+    least = nameless.filter("n_shingles > 0").groupBy("class_key").agg(F.min("_digest").alias("_kept")).select("_kept")
+    least = least.unionByName(nameless.filter("n_shingles = 0").select(F.col("_digest").alias("_kept"))).distinct()
+    unnumbered = docs.filter(F.col("doc_id").isNull())
+    return numbered.unionByName(unnumbered.join(least, digest(F.col("text")) == F.col("_kept"), "left_semi"))

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from tailwise.llm import exact, near
 
 
@@ -143,3 +144,17 @@ def test_prefix_is_shortened_until_the_recall_is_met():
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).selectExpr("id as a", "id + 1 as b")
     assert {r.component for r in near.components(edges).collect()} == {0}
+
+
+def test_near_rows_without_identifier_are_linked(spark):
+    words = [f"w{n}" for n in range(40)]
+    changed = lambda at, word: " ".join(words[:at] + [word] + words[at + 1 :])
+    other = [f"v{n}" for n in range(40)]
+    rows = [(1, " ".join(words)), (None, changed(0, "x")), (None, changed(39, "y")), (None, " ".join(other)), (None, " ".join(other[:-1] + ["z"])), (None, ""), (7, "short one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", F.lit("extra"))
+    got = near.near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in got) == sorted(
+        [("1", "1", 2), ("None", "1", 2), ("None", "1", 2), ("None", "None", 1), ("None", "None", 1), ("None", "None", 0), ("7", "7", 0)]
+    )
+    kept = sorted((str(r.doc_id), r.text[:2]) for r in near.one_of_each(docs).collect())
+    assert kept == [("1", "w0"), ("7", "sh"), ("None", ""), ("None", "v0")]
