@@ -4,14 +4,15 @@ Counts come from suffix trees over words, cut at five words and partitioned vert
 covers the corpus:
 
 1. Buckets. One pass counts words and pairs of neighbouring words in hash buckets, an upper bound of every
-   word's and pair's count. A phrase that is frequent enough lies in buckets that are, so a suffix may be
-   cut where a pair's bucket is not. One bit a bucket is sent to the tasks; the number of buckets follows
-   the corpus up to PAIR_BUCKETS, beyond which fewer suffixes are cut and the result is the same.
+   word's and pair's count; a second one counts triples whose pairs are frequent. A phrase that is frequent
+   enough lies in buckets that are, so a suffix may be cut where a pair's or triple's bucket is not. One
+   bit a bucket is sent to the tasks; the number of buckets follows the corpus up to PAIR_BUCKETS, beyond
+   which fewer suffixes are cut and the result is the same.
 2. Prefix groups. The buckets of first words are packed into groups within a budget of suffixes. A first
    word above the budget is extended: its suffixes are dealt by their first two words, and those of a pair
    above the budget by the whole suffix.
-3. Suffixes. Every place of the texts gives its suffix, cut; equal ones are counted within an Arrow batch
-   before they are moved to their group.
+3. Suffixes. Every place of the texts gives its suffix, cut; equal ones are counted within a task, by
+   bounded parts, before they are moved to their group.
 4. Subtrees. Each group builds its subtree on its own, level by level as arrays: the nodes of a level are the
    distinct prefixes of its leaves, and every node's count is the sum of the leaf totals below. A phrase whose suffixes lie in several groups (above an extended prefix)
    is added up over these.
@@ -37,10 +38,12 @@ LONGEST = 5  # words of a phrase
 LEAST_COUNT = 100
 BUCKETS = 1 << 18  # of words, and of pairs where sizes matter
 PAIR_BUCKETS = 1 << 27  # of pairs where only frequency matters, at most; a bit each
-BYTES_A_BUCKET = 64  # of text, for each of these
+BYTES_A_BUCKET = 16  # of text, for each of these
 CHUNK = 1 << 16  # buckets that are moved as one row
 BUDGET = 500_000  # suffixes of a group, before equal ones are counted
 HELD = 1 << 22  # pairs whose buckets a task holds before it passes them on
+HELD_LEAVES = 400_000  # distinct suffixes a task holds before it passes them on
+SLICE = 4 << 20  # bytes of text that are made into arrays together
 UNKNOWN = "und"
 
 # Upper case is lowered, separators become a byte that UTF-8 never uses; it parts pieces as a token of its own.
@@ -56,7 +59,7 @@ class Tokens:
         joined = _CUT.join(texts).translate(_TABLE).replace(_CUT, b" \xff ")
         found = pa.array([_CUT, *joined.split()], pa.large_binary()).dictionary_encode()
         self.words: list[bytes] = found.dictionary.to_pylist()
-        self.places = found.indices.to_numpy().astype(np.int64)
+        self.places = found.indices.to_numpy()
         self.hashes, self.word_bucket = _word_buckets(self.words, lang)
         self.is_word = self.places != 0
 
@@ -65,6 +68,10 @@ class Tokens:
         hashes = self.hashes[self.places]
         return _pair_hashes(hashes[:-1], hashes[1:]), self.is_word[:-1] & self.is_word[1:]
 
+    def triple_hashes(self, pairs: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every place but the last two, a hash of three words, and whether both their pairs are linked."""
+        return _pair_hashes(pairs[:-1], self.hashes[self.places[2:]]), linked[:-1] & linked[1:]
+
 
 def _word_buckets(words: list[bytes], lang: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and buckets of a language's words."""
@@ -82,15 +89,26 @@ def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return _mixed(first * np.uint64(0x9E3779B97F4A7C15) + second)
 
 
+def _word_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of single words among those of pairs."""
+    return _pair_hashes(np.uint64(1) << np.uint64(40), hashes)
+
+
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes & np.uint64(buckets - 1)).astype(np.int64)
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, Tokens]]:
-    """The tokens of each language of a batch with columns (lang, text)."""
+    """The tokens of each language of a batch with columns (lang, text), a slice of whole texts at a time."""
     texts: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
     for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-        texts.setdefault(lang, []).append((text.as_py() or "").encode())
+        text = (text.as_py() or "").encode()
+        texts.setdefault(lang, []).append(text)
+        sizes[lang] = sizes.get(lang, 0) + len(text)
+        if sizes[lang] > SLICE:
+            yield lang, Tokens(texts.pop(lang), lang)
+            sizes[lang] = 0
     for lang, listed in texts.items():
         yield lang, Tokens(listed, lang)
 
@@ -109,23 +127,37 @@ def _chunks(kind: int, buckets: np.ndarray, counts: np.ndarray) -> Iterator[tupl
         yield kind, int(chunk[low]), None, int(high - low), (buckets[low:high] % CHUNK).astype(np.uint16).tobytes(), part.astype(size).tobytes()
 
 
-def _count(batches: Iterator[pa.RecordBatch], pair_buckets: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Bucket counts of a task, and its number of words by language."""
-    words, sized = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
-    totals: dict[str, int] = {}
-    held: list[np.ndarray] = []
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
+    columns = list(zip(*rows)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "chunk", "lang", "n", "places", "counts"])
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
-        columns = list(zip(*rows)) or [[]] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "chunk", "lang", "n", "places", "counts"])
 
-    def pass_on() -> pa.RecordBatch:
-        found, counts = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        # Only whether a bucket is frequent matters, so a count need not pass the least one.
-        return batch_of(list(_chunks(PAIRS, found.astype(np.int64), np.minimum(counts, min(least, 255)))))
+class Held:
+    """Buckets of pairs or triples, held until there are enough to be counted together."""
+
+    def __init__(self, buckets: int, least: int):
+        self.buckets, self.least = buckets, min(least, 255)
+        self.parts: list[np.ndarray] = []
 
+    def add(self, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(_bucket(hashes, self.buckets).astype(np.uint32))
+        if sum(map(len, self.parts)) >= HELD:
+            yield from self.pass_on()
+
+    def pass_on(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            found, counts = np.unique(np.concatenate(self.parts), return_counts=True)
+            self.parts.clear()
+            # Only whether a bucket is frequent matters, so a count need not pass the least one.
+            yield _rows(list(_chunks(PAIRS, found.astype(np.int64), np.minimum(counts, self.least))))
+
+
+def _count(batches: Iterator[pa.RecordBatch], pair_buckets: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Bucket counts of a task's words and pairs, and its number of words by language."""
+    words, sized = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+    totals: dict[str, int] = {}
+    held = Held(pair_buckets, least)
     for batch in batches:
         for lang, tokens in _by_language(batch):
             occurrences = np.bincount(tokens.places, minlength=len(tokens.words))
@@ -133,16 +165,26 @@ def _count(batches: Iterator[pa.RecordBatch], pair_buckets: int, least: int) ->
             words += np.bincount(tokens.word_bucket[1:], occurrences[1:], minlength=BUCKETS).astype(np.int64)
             hashes, inside = tokens.pair_hashes()
             sized += np.bincount(_bucket(hashes[inside], BUCKETS), minlength=BUCKETS)
-            held.append(_bucket(hashes[inside], pair_buckets).astype(np.uint32))
-        if sum(map(len, held)) >= HELD:
-            yield pass_on()
+            yield from held.add(hashes[inside])
+            yield from held.add(_word_hashes(tokens.hashes[tokens.places[tokens.is_word]]))
     rows = [(TOTAL, -1, lang, n, None, None) for lang, n in totals.items()]
     for kind, counts in ((WORDS, words), (SIZED_PAIRS, sized)):
         some = np.flatnonzero(counts)
         rows += _chunks(kind, some, counts[some])
-    yield batch_of(rows)
-    if held:
-        yield pass_on()
+    yield _rows(rows)
+    yield from held.pass_on()
+
+
+def _count_triples(batches: Iterator[pa.RecordBatch], groups: Groups, least: int) -> Iterator[pa.RecordBatch]:
+    """Bucket counts of a task's triples that frequent pairs make up."""
+    held = Held(groups.pair_buckets, least)
+    for batch in batches:
+        for _, tokens in _by_language(batch):
+            hashes, inside = tokens.pair_hashes()
+            linked = inside & groups.frequent.holds(hashes)
+            triples, joined = tokens.triple_hashes(hashes, linked)
+            yield from held.add(triples[joined])
+    yield from held.pass_on()
 
 
 def _add_chunks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -159,88 +201,132 @@ def _add_chunks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Re
     )
 
 
+class Bits:
+    """Which buckets are frequent, a bit each."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.bits = buckets, np.zeros(buckets // 8, dtype=np.uint8)
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        bucket = _bucket(hashes, self.buckets)
+        return (self.bits[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 > 0
+
+
+def _added(counted: DataFrame, least: int, wholes: dict[int, np.ndarray]) -> None:
+    """Add up the chunks of a counting pass on all tasks and put them into the arrays of their kinds."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _add_chunks(batches, min(least, 255))
+
+    chunks = counted.filter(F.col("kind") != TOTAL).select("kind", "chunk", "n", "places", "counts")
+    for row in chunks.repartition(32, "kind", "chunk").mapInArrow(add, "kind int, chunk int, content binary").collect():
+        whole = wholes[row["kind"]]
+        content = np.frombuffer(row["content"], whole.dtype)
+        low = row["chunk"] * len(content)
+        whole[low : low + len(content)] = content
+
+
 class Groups:
     """What a task needs to cut suffixes and to choose their group; its size is bounded by the numbers of buckets."""
 
     def __init__(self, counted: DataFrame, pair_buckets: int, budget: int, least: int):
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _add_chunks(batches, min(least, 255))
-
-        chunks = counted.filter(F.col("kind") != TOTAL).select("kind", "chunk", "n", "places", "counts")
-        added = chunks.repartition(32, "kind", "chunk").mapInArrow(add, "kind int, chunk int, content binary")
         words, pairs = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
-        self.pair_buckets, self.frequent = pair_buckets, np.zeros(pair_buckets // 8, dtype=np.uint8)
-        for row in added.collect():
-            whole, kind = (words, pairs, self.frequent)[row["kind"]], (np.int64, np.int64, np.uint8)[row["kind"]]
-            content = np.frombuffer(row["content"], kind)
-            low = row["chunk"] * (CHUNK // 8 if row["kind"] == PAIRS else CHUNK)
-            whole[low : low + len(content)] = content[: len(whole) - low]
-        self.frequent_word = words >= least
+        self.pair_buckets, self.frequent = pair_buckets, Bits(pair_buckets)
+        self.triples = Bits(pair_buckets)
+        _added(counted, least, {WORDS: words, SIZED_PAIRS: pairs, PAIRS: self.frequent.bits})
         self.heavy, self.heavy_pair = words > budget, pairs > budget
-        sizes = np.where(self.heavy | ~self.frequent_word, 0, words)
+        sizes = np.where(self.heavy | (words < least), 0, words)
         self.of_word = (np.maximum(np.cumsum(sizes) - 1, 0) // budget).astype(np.int32)
         self.first = int(self.of_word[-1]) + 1  # the groups of heavy words come after
         self.more = max(1, int(words[self.heavy].sum()) // budget)
 
-    def frequent_pair(self, hashes: np.ndarray) -> np.ndarray:
-        bucket = _bucket(hashes, self.pair_buckets)
-        return (self.frequent[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 > 0
+    def count_triples(self, texts: DataFrame, least: int) -> None:
+        shared = texts.sparkSession.sparkContext.broadcast(self)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _count_triples(batches, shared.value, least)
+
+        _added(texts.mapInArrow(returning(count), COUNTED), least, {PAIRS: self.triples.bits})
 
 
 def _cut_suffixes(tokens: Tokens, groups: Groups, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where suffixes begin, how many words stay, and their group (-1: by the whole suffix)."""
-    frequent = groups.frequent_word[tokens.word_bucket]
+    frequent = groups.frequent.holds(_word_hashes(tokens.hashes))
     frequent[0] = False
     hashes, inside = tokens.pair_hashes()
-    linked = np.concatenate([inside & groups.frequent_pair(hashes), np.zeros(longest, dtype=bool)])
+    linked = inside & groups.frequent.holds(hashes)
+    triples, joined = tokens.triple_hashes(hashes, linked)
+    none = np.zeros(longest + 1, dtype=bool)
+    third = np.concatenate([joined & groups.triples.holds(triples), none])
     start = np.flatnonzero(frequent[tokens.places])
-    length = np.ones(len(start), dtype=np.int64)
-    going = np.ones(len(start), dtype=bool)
-    for ahead in range(longest - 1):
-        going &= linked[start + ahead]
+    going = np.concatenate([linked, none])[start]
+    length = 1 + going.astype(np.int64)
+    for ahead in range(longest - 2):
+        going &= third[start + ahead]
         length += going
     bucket = tokens.word_bucket[tokens.places[start]]
     pair = np.concatenate([hashes, np.zeros(1, dtype=np.uint64)])[start]
-    # A heavy word on its own is one leaf in a batch.
+    # A heavy word on its own is one leaf.
     below = groups.heavy[bucket] & (length > 1)
     dealt = groups.first + (pair % np.uint64(groups.more)).astype(np.int64)
     dealt = np.where(groups.heavy_pair[_bucket(pair, BUCKETS)], -1, dealt)
     return start, length, np.where(below, dealt, groups.of_word[bucket])
 
 
-def _leaves(tokens: Tokens, groups: Groups, longest: int) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct cut suffixes of a batch as text, their number, and their group."""
+def _leaves(tokens: Tokens, groups: Groups, longest: int) -> Iterator[tuple[bytes, int, int]]:
+    """Distinct cut suffixes of a slice, their number, and their group."""
     start, length, group = _cut_suffixes(tokens, groups, longest)
     if not len(start):
-        return [], start, group
-    padded = np.concatenate([tokens.places, np.zeros(longest, dtype=np.int64)])
+        return
+    padded = np.concatenate([tokens.places, np.zeros(longest, dtype=tokens.places.dtype)]).astype(np.int64)
     codes = padded[start]
     for ahead in range(1, longest):
         following = np.where(length > ahead, padded[start + ahead], 0)
         codes = np.unique(codes * len(tokens.words) + following, return_inverse=True)[1]
     _, first, number = np.unique(codes, return_index=True, return_counts=True)
-    words, places = tokens.words, tokens.places.tolist()
-    listed = [b" ".join([words[w] for w in places[s : s + n]]).decode() for s, n in zip(start[first].tolist(), length[first].tolist())]
-    chosen = group[first]
-    for n in np.flatnonzero(chosen < 0).tolist():
-        chosen[n] = groups.first + zlib.crc32(listed[n].encode()) % groups.more
-    return listed, number, chosen
+    words = tokens.words
+    rows = padded[start[first][:, None] + np.arange(longest)]
+    for row, n, count, chosen in zip(rows.tolist(), length[first].tolist(), number.tolist(), group[first].tolist()):
+        suffix = b" ".join([words[w] for w in row[:n]])
+        yield suffix, count, chosen if chosen >= 0 else groups.first + zlib.crc32(suffix) % groups.more
 
 
 def suffixes(texts: DataFrame, groups: Groups, longest: int = LONGEST) -> DataFrame:
-    """Cut suffixes of (lang, text) rows with their number within a batch, as (grp, lang, suffix, n)."""
+    """Cut suffixes of (lang, text) rows with their number within a part of a task, a group a row: (grp, lang, suffixes, counts)."""
     shared = texts.sparkSession.sparkContext.broadcast(groups)  # bounded by the numbers of buckets
 
+    def pass_on(held: dict[str, dict[bytes, list[int]]]) -> Iterator[pa.RecordBatch]:
+        for lang, leaves in held.items():
+            group = np.array([g for _, g in leaves.values()], dtype=np.int32)
+            order = np.argsort(group, kind="stable")
+            listed, counts = list(leaves), np.array([n for n, _ in leaves.values()], dtype=np.int64)[order]
+            ends = np.flatnonzero(np.diff(group[order], append=-1)) + 1 if len(order) else order
+            offsets = pa.array([0, *ends.tolist()], pa.int32())
+            columns = [
+                pa.array(group[order][ends - 1], pa.int32()),
+                pa.array([lang] * len(ends), pa.string()),
+                pa.ListArray.from_arrays(offsets, pa.array([listed[n].decode() for n in order.tolist()], pa.string())),
+                pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["grp", "lang", "suffixes", "counts"])
+        held.clear()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[bytes, list[int]]] = {}
         for batch in batches:
             for lang, tokens in _by_language(batch):
-                listed, number, group = _leaves(tokens, shared.value, longest)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(group, pa.int32()), pa.array([lang] * len(listed), pa.string()), pa.array(listed, pa.string()), pa.array(number, pa.int64())],
-                    names=["grp", "lang", "suffix", "n"],
-                )
+                leaves = held.setdefault(lang, {})
+                for suffix, n, group in _leaves(tokens, shared.value, longest):
+                    known = leaves.get(suffix)
+                    if known is None:
+                        leaves[suffix] = [n, group]
+                    else:
+                        known[0] += n
+                if sum(map(len, held.values())) > HELD_LEAVES:
+                    yield from pass_on(held)
+        yield from pass_on(held)
 
-    return texts.mapInArrow(returning(run), "grp int, lang string, suffix string, n long")
+    return texts.mapInArrow(returning(run), "grp int, lang string, suffixes array<string>, counts array<long>")
 
 
 class Subtree:
@@ -279,7 +365,8 @@ def _build(part: pa.Table, heavy: np.ndarray, heavy_pair: np.ndarray, least: int
     langs, phrases, depths, counts = [], [], [], []
     for lang in pc.unique(part.column("lang")).to_pylist():
         own = part.filter(pc.equal(part.column("lang"), lang))
-        tree = Subtree(own.column("suffix").combine_chunks(), own.column("n").to_numpy())
+        leaves = [pc.list_flatten(own.column(c)).combine_chunks() for c in ("suffixes", "counts")]
+        tree = Subtree(leaves[0], leaves[1].to_numpy())
         hashes, bucket = _word_buckets([w.encode() for w in tree.names], lang)
         for depth, leaf, count in tree.levels():
             first = tree.words[leaf, 0] - 1
@@ -311,6 +398,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONG
     passed = materialise(texts.mapInArrow(returning(count), COUNTED), "phrase-buckets")
     totals = passed.filter(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("n").alias("n"))
     groups = Groups(passed, pair_buckets, budget, least)
+    groups.count_triples(texts, least)
     heavy, heavy_pair = groups.heavy, groups.heavy_pair
 
     def build(part: pa.Table) -> pa.Table:
