@@ -3,10 +3,11 @@
 1. Indicators. A text shows which n-grams it holds: 1 to 4 neighbouring bytes, and words and pairs of words
    (runs of letters lower-cased, their spelling hashed), each as a bucket of a fixed hash table. Two, three
    and four equal words in a row also have buckets that do not depend on the word.
-2. Log-count ratios. All labelled texts are counted: r = log((p + 1) / sum(p + 1)) - log((q + 1) / sum(q + 1)),
-   with p and q the texts of either class that show an indicator. Counts are summed within tasks first.
-3. Support vectors. A bounded sample of labelled texts gives rows of r in the place of the indicators they
-   show; dual coordinate descent fits the hinge loss, each class weighted to count alike.
+2. Log-count ratios. A bounded sample of each label's texts is counted: r = log((p + 1) / sum(p + 1)) -
+   log((q + 1) / sum(q + 1)), with p and q the texts of either class that show an indicator. The sample is
+   drawn on identifiers, so only its own texts are fetched; counts are summed within tasks first.
+3. Support vectors. The sample's texts give rows of r in the place of the indicators they show; dual
+   coordinate descent fits the hinge loss, each class weighted to count alike.
 4. Probability. Margins of texts held out in the fit's own folds give a logistic curve, with the classes in
    their true shares.
 
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .common import bounded_sample, returning
 
 BITS = 18  # buckets of the hash table
@@ -204,13 +206,21 @@ def fit_rows(rows: list[np.ndarray], scale: np.ndarray, label: np.ndarray, prior
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_label: int = PER_LABEL, seed: int = 11) -> bytes:
     """A classifier from (doc_id, text) and (doc_id, label) rows; rows with a null label are left out.
 
-    Counts cover all labelled rows; support vectors are fitted to at most ``per_label`` rows of each label,
-    with at most INDICATORS places each, which meet on the driver. A label above 0 is 1. Null texts count as
+    It is fitted to at most ``per_label`` rows of each label, whose whole texts are read; their rows of at most
+    INDICATORS places each meet on the driver. A label above 0 is 1. Null texts count as
     empty. With no row, or rows of one label only, the classifier gives the share of label 1.
     """
     known = labels.filter(F.col(label_col).isNotNull()).select("doc_id", (F.col(label_col) > 0).cast("int").alias("label"))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counted = texts.join(known, "doc_id").select("text", "label").mapInArrow(returning(_count), "bucket int, n_0 long, n_1 long")
+    rows = docs.select("doc_id").join(known, "doc_id")
+    shares = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    prior = shares.get(1, 0) / max(1, sum(shares.values()))
+    if len(shares) < 2:
+        return pickle.dumps((np.zeros(1 << BITS, dtype=np.float32), 30.0 if prior else -30.0, 1.0, 0.0))
+    ids = bounded_sample(rows, "label", per_label, seed).distinct()
+    # At most per_label rows of each label: small by that bound.
+    sample = materialise(texts.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text"), "quality-sample")
+    counted = sample.mapInArrow(returning(_count), "bucket int, n_0 long, n_1 long")
     table = counted.groupBy("bucket").agg(F.sum("n_0").alias("n_0"), F.sum("n_1").alias("n_1")).toArrow()
     counts, totals = np.zeros((2, 1 << BITS)), np.zeros(2)
     bucket = table.column("bucket").to_numpy()
@@ -218,9 +228,6 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_labe
         n = table.column(f"n_{c}").to_numpy()
         counts[c][bucket[bucket >= 0]] = n[bucket >= 0]
         totals[c] = n[bucket < 0].sum()
-    prior = float(totals[1] / max(1, totals.sum()))
-    if not totals.all():
-        return pickle.dumps((np.zeros(1 << BITS, dtype=np.float32), 30.0 if prior else -30.0, 1.0, 0.0))
     beyond = evidence(counts, totals)
     best = np.argsort(-beyond, kind="stable")[:INDICATORS]
     chosen = np.sort(best[beyond[best] > BEYOND_CHANCE])
@@ -236,9 +243,6 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_labe
                 rows.append(found[found >= 0].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())], names=["doc_id", "label", "row"])
 
-    ids = bounded_sample(docs.select("doc_id").join(known, "doc_id"), "label", per_label, seed).distinct()
-    # At most per_label rows of each label: small by that bound.
-    sample = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
     taken = sample.mapInArrow(describe, "doc_id long, label int, row binary").collect()
     taken.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["label"], r["row"]))
     rows = [np.frombuffer(r["row"], np.int32) for r in taken]
