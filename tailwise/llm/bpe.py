@@ -25,16 +25,16 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import returning
+from .common import release_memory, returning
 
 # Fixed value: the published split pattern of the vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-CACHED_PIECES = 150_000  # pieces remembered by a worker, and as many from before
+CACHED_PIECES = 100_000  # pieces remembered by a worker, and as many from before
 CACHED_LENGTH = 48  # longest piece remembered, in characters
 CHUNK = 65_536  # pieces of a text handled at a time
-STRETCH = 1 << 21  # characters of texts whose pieces are looked up together
-TOGETHER = 20_000  # pieces encoded in one array
+STRETCH = 1 << 19  # characters of texts whose pieces are looked up together
+TOGETHER = 4_096  # pieces encoded in one array
 WIDTHS = (4, 8, 16, 32, 64)  # leaves of the trees that are encoded together
 NEVER = 1 << 62
 
@@ -48,6 +48,13 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
+def token_bytes(data: dict) -> dict[int, bytes]:
+    """The bytes of every number of a parsed tokenizer file."""
+    value = {letter: b for b, letter in byte_letters().items()}
+    known = {i: bytes(value[c] for c in token) for token, i in data["model"]["vocab"].items()}
+    return known | {t["id"]: t["content"].encode() for t in data["added_tokens"]}
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary from the text of a tokenizer file."""
 
@@ -59,10 +66,9 @@ class Vocabulary:
         if data["pre_tokenizer"]["add_prefix_space"] or any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in data["added_tokens"]):
             raise ValueError("prefix spaces and stripping special tokens are not supported")
         letters = byte_letters()
-        value = {letter: b for b, letter in letters.items()}
         ids = model["vocab"]
         self.start = [ids[letters[b]] for b in range(256)]
-        self.bytes_of = {i: bytes(value[c] for c in token) for token, i in ids.items()}
+        self.bytes_of = token_bytes(data)
         self.merges: dict[int, tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
@@ -74,7 +80,6 @@ class Vocabulary:
         self.merged = np.zeros(1 + max(self.ranks, default=0), dtype=np.int64)  # by rank
         self.merged[self.ranks] = np.array([self.merges[k][1] for k in keys.tolist()], dtype=np.int64)[order]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.bytes_of |= {i: content.encode() for content, i in self.special.items()}
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Merge the bytes of one piece until no adjacent pair has a rank."""
@@ -318,22 +323,16 @@ class Encoder:
         return next(self.encode_all([text]))
 
 
-@functools.lru_cache(maxsize=1)
-def vocabulary_of(content: str) -> Vocabulary:
-    """The worker's vocabulary, read once for encoding and decoding."""
-    return Vocabulary(content)
-
-
 @functools.lru_cache(maxsize=1)
 def encoder_of(content: str) -> Encoder:
     """The worker's encoder; it outlives a task, and so do the pieces it remembers."""
-    return Encoder(vocabulary_of(content))
+    return Encoder(Vocabulary(content))
 
 
 @functools.lru_cache(maxsize=1)
 def bytes_table(content: str) -> list[bytes]:
-    """The bytes of every number up to the greatest one."""
-    known = vocabulary_of(content).bytes_of
+    """The bytes of every number up to the greatest one; a worker that decodes keeps nothing else."""
+    known = token_bytes(json.loads(content))
     return [known.get(i, b"") for i in range(max(known) + 1)]
 
 
@@ -364,6 +363,8 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
         for batch in batches:
             packed = pa.array(encoder.encode_all(t.as_py() for t in batch.column(len(kept))), pa.large_binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed.cast(pa.binary())], names=[*kept, ids_col])
+            del packed
+            release_memory()  # the pieces of a batch leave gaps that would add up
 
     return rows.mapInArrow(returning(run), schema)
 

@@ -18,9 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = "16m"  # of an Arrow batch; the JVM and Python hold several at a time
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, size: str = BATCH_BYTES) -> None:
     """Bound the session's Arrow batches by bytes, for texts of any length on small executors."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def release_memory() -> None:
