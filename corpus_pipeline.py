@@ -18,6 +18,9 @@ from tailwise.session import materialise
 # language that was learned. Other passages and the number of languages do not change a passage's scores.
 LEAST_PASSAGE_SCORE = -0.3
 
+# Encoding and decoding run in two workers a task, each with several batches and the numbers of their texts.
+TOKEN_BATCHES = "6m"
+
 # SQL cannot train the language classifier of the first stage.
 ORACLE_SQL = None
 
@@ -55,7 +58,7 @@ def _digest(text: Column) -> Column:
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token numbers of every document, and whether they decode to its text."""
-    small_batches(spark)
+    small_batches(spark, TOKEN_BATCHES)
     vocabulary = bpe.read_vocabulary(vocabulary_path())
     text = F.coalesce("text", F.lit(""))
     # The text goes through once; its digest tells whether it came back.
