@@ -189,3 +189,38 @@ def test_a_mark_is_a_weight():
     page = f"<div>{LONG * 3}</div>"
     assert html.main_text(f"{page}<article><p>{short}</p></article>") == f"{LONG * 3}\n{short}"
     assert html.main_text(f"{page}{'<br><div></div>' * 4}<section><p>{short}</p></section>") == LONG * 3
+
+
+PAGE = f"<h1>A title</h1><p>{LONG}</p>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='no-sidebar'>{PAGE}</div>", f"A title\n{LONG}"),
+        (f"<div class='page search-enabled comments-open'>{PAGE}</div>", f"A title\n{LONG}"),
+        (f"<div class='alert alert-story'>{PAGE}</div><p>ok</p>", f"A title\n{LONG}\nok"),
+        (f"<div class='site-sidebar'>{LONG}</div><div>{PAGE}</div>", f"A title\n{LONG}"),
+        (f"<article><p>{LONG}</p><aside>{LONG}</aside><p>Short end, of note.</p></article>", f"{LONG}\nShort end, of note."),
+        (f"<div><p>{LONG}</p><aside>{LONG}</aside><p>Short end, of note.</p></div>", f"{LONG}\nShort end, of note."),
+        (f"<article><h1>A title</h1><div class='share bar'>send</div><p>{LONG}</p></article>", f"A title\n{LONG}"),
+        (f"<div><h1>A title</h1><form>send</form><p>{LONG}</p></div>", f"A title\n{LONG}"),
+        (f"<div><p>{LONG} <button>more</button> and <span class='ad'>buy</span>end.</p></div>", f"{LONG} and end."),
+        (f"<ul><li class='promo'>buy<li>{LONG}</ul>", LONG),
+        (f"<div class='comments'><p>{LONG * 20}</p></div><p>{LONG}</p>", LONG),
+        (f"<div><div><p>{LONG}</p></div><div class='sidebar'>x</div><div>Copyright</div></div>", LONG),
+    ],
+)
+def test_names_and_removed_children_take_no_main_text(page, text):
+    assert html.main_text(page) == text
+
+
+def test_page_columns_that_clash(spark):
+    df = spark.createDataFrame([(1, "<p>x</p>", "y")], "page_id long, html string, text string")
+    with pytest.raises(ValueError, match="text"):
+        html.extract(df)
+
+
+def test_long_page_is_read_whole():
+    page = "<div>" + f"<p>{LONG}</p>" * 20000 + "</div>"
+    assert html.main_text(page).count(LONG) == 20000
