@@ -130,9 +130,9 @@ STATEMENTS = {
             FROM p JOIN labels ON number <> '' AND labels.doc_id = try_cast(number AS BIGINT) WHERE quality IS NOT NULL
         ),
         named AS (
-            SELECT host, CASE WHEN regexp_full_match(host, '[0-9.:\[\]]*') THEN host ELSE array_to_string(string_split(host, '.')[-2:], '.') END AS domain,
-                   CASE WHEN regexp_full_match(host, '[0-9.:\[\]]*') THEN host ELSE string_split(host, '.')[-1] END AS suffix
-            FROM (SELECT DISTINCT host FROM p)
+            SELECT host, CASE WHEN regexp_full_match(host, '[0-9.:\[\]]*') THEN host ELSE array_to_string(string_split(host, '.')[CASE WHEN two THEN -3 ELSE -2 END:], '.') END AS domain,
+                   CASE WHEN regexp_full_match(host, '[0-9.:\[\]]*') THEN host ELSE array_to_string(string_split(host, '.')[CASE WHEN two THEN -2 ELSE -1 END:], '.') END AS suffix
+            FROM (SELECT DISTINCT host, regexp_matches(host, '(?:^|[.])(?:ac|co|com|edu|go|gob|gov|ltd|mil|ne|net|or|org|plc|sch)[.][a-z][a-z]$') AS two FROM p)
         ),
         h AS (SELECT n.*, count(bad) AS n, coalesce(sum(bad), 0) AS x FROM outcomes o JOIN named n USING (host) GROUP BY ALL),
         r0 AS (SELECT (coalesce(sum(x), 0) + 1) / (coalesce(sum(n), 0) + 2) AS rate FROM h),

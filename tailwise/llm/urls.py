@@ -22,6 +22,8 @@ from ..session import materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEVELS = ("suffix", "domain", "host")
+# Labels under which two-letter country domains register names (``co.uk``, ``com.au``, ``or.jp``).
+SECOND_LEVEL = ("ac", "co", "com", "edu", "go", "gob", "gov", "ltd", "mil", "ne", "net", "or", "org", "plc", "sch")
 # Bounds of the estimated correlation of outcomes within a group; strength = 1 / rho - 1.
 RHO_LEAST, RHO_MOST = 1e-4, 0.5
 
@@ -41,14 +43,23 @@ def _rest(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.length(url)))
 
 
-def domain_of(host: Column) -> Column:
-    """The last two labels; a numeric address or a single label is its own domain."""
-    return F.when(host.rlike(r"^[0-9.:\[\]]*$"), host).otherwise(F.substring_index(host, ".", -2))
+def _by_labels(host: Column, n: int, second_level: Sequence[str]) -> Column:
+    """The last ``n`` labels, one more where names are registered under two; a numeric address as it is."""
+    last = F.substring_index(host, ".", -n)
+    if second_level:
+        two = host.rlike(rf"(?:^|\.)(?:{'|'.join(second_level)})\.[a-z][a-z]$")
+        last = F.when(two, F.substring_index(host, ".", -n - 1)).otherwise(last)
+    return F.when(host.rlike(r"^[0-9.:\[\]]*$"), host).otherwise(last)
 
 
-def suffix_of(host: Column) -> Column:
-    """The last label; a numeric address is its own suffix."""
-    return F.when(host.rlike(r"^[0-9.:\[\]]*$"), host).otherwise(F.substring_index(host, ".", -1))
+def domain_of(host: Column, second_level: Sequence[str] = SECOND_LEVEL) -> Column:
+    """The suffix and one label; a numeric address, a suffix or a single label is its own domain."""
+    return _by_labels(host, 2, second_level)
+
+
+def suffix_of(host: Column, second_level: Sequence[str] = SECOND_LEVEL) -> Column:
+    """The last label, or two such as ``co.uk``; a numeric address is its own suffix."""
+    return _by_labels(host, 1, second_level)
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:

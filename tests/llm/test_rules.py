@@ -123,6 +123,34 @@ def test_reputation_shrinks_towards_the_domain(spark):
     assert {r.verdict for r in urls.judge(pages, [], outcomes.limit(0)).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize(
+    "host, domain, suffix",
+    [
+        ("www.fine.co.uk", "fine.co.uk", "co.uk"),
+        ("fine.com.au", "fine.com.au", "com.au"),
+        ("co.uk", "co.uk", "co.uk"),
+        ("a.b.example.com", "example.com", "com"),
+        ("shop.disco.uk", "disco.uk", "uk"),
+        ("www.co.com", "co.com", "com"),
+        ("127.0.0.1:80", "127.0.0.1:80", "127.0.0.1:80"),
+        ("local", "local", "local"),
+        ("", "", ""),
+    ],
+)
+def test_registered_domains(spark, host, domain, suffix):
+    df = spark.createDataFrame([(host,)], "host string")
+    assert tuple(df.select(urls.domain_of(df.host), urls.suffix_of(df.host)).first()) == (domain, suffix)
+
+
+def test_bad_hosts_do_not_block_others_of_a_country_suffix(spark):
+    bad = [(f"spam{n}.co.uk", 1) for n in range(40) for _ in range(30)]
+    good = [(f"good{n}.co.uk", 0) for n in range(60) for _ in range(30)] + [(f"g{n}.com", 0) for n in range(60) for _ in range(30)]
+    outcomes = spark.createDataFrame(bad + good, "host string, bad int")
+    pages = spark.createDataFrame([(1, "http://fine.co.uk/"), (2, "http://spam1.co.uk/"), (3, "http://new.spam1.co.uk/")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, [], outcomes).collect()}
+    assert got == {1: "allow", 2: "block", 3: "block"}
+
+
 MENU = "<ul class='menu'><li><a href=a>Home</a></li><li><a href=b>About us</a></li></ul>"
 ARTICLE = "<h1>A title</h1><p>First <b>bold</b> paragraph, long enough to count as text &amp; more of it, on and on.</p><p>Short.</p>"
 TEXT = "A title\nFirst bold paragraph, long enough to count as text & more of it, on and on.\nShort."
