@@ -15,7 +15,7 @@ from ..operators import (
 )
 from ..schemas import CLAIM_STATUSES, LOSS_TYPES, REQUIRED_CLAIM_COLUMNS, conform, contract
 from ..session import fresh_path
-from ..sources import files
+from ..sources import evolution, files
 from ..streaming import cells as stream_cells
 from ..streaming import expectations as stream_expectations
 from ..streaming import ingest
@@ -1309,6 +1309,18 @@ def maintained_cells(x: Inputs) -> DataFrame:
     return shown(store.cells(), p4=["incremental_value", "cumulative_value"])
 
 
+@query
+def evolved_payments(x: Inputs) -> DataFrame:
+    """Cleared payments, then pending ones that come with a wider and an added column, in one table."""
+    folder = fresh_path(x.spark, "evolved")
+    raw = _raw_payments(x).withColumn("paid_month", F.month("payment_date"))
+    first = ["payment_id", "claim_id", "payment_type", "payment_amount", "paid_month"]
+    evolution.append(raw.filter(F.col("payment_status") == "Cleared").select(*first), folder, ["payment_type"])
+    wide = raw.withColumn("paid_month", F.col("paid_month").cast("long")).select(*first, "payment_status")
+    evolution.append(wide.filter(F.col("payment_status") == "Pending"), folder, ["payment_type"])
+    return evolution.read(x.spark, folder)
+
+
 @query
 def triangle_store_partition(x: Inputs) -> DataFrame:
     """Write the triangle partitioned by type and loss type, then read one partition back."""
