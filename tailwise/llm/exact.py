@@ -12,8 +12,8 @@ that stays. Two rounds keep hot texts apart from single tasks:
    order, a subtree left behind can never receive another string: it is dropped at once and its
    owners have been written out. Memory holds the path to the newest string, whatever the group.
 
-The texts of representatives move once, to be joined with the lengths and hashes that occur again; those
-alone in their length and hash go no further.
+Texts move only where their length and hash occur again: bits of these are sent to the tasks, and a text
+without its bit stays where it is. So do the rows that stay, when those that go are taken out.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
-from .common import returning
+from .common import maybe_among, returning
 
 
 class Node:
@@ -168,8 +168,8 @@ def _second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _owners(docs: DataFrame, id_col: str, text_col: str, carried: list[str]) -> tuple[DataFrame, DataFrame]:
-    """All rows with their representative, and the representatives with owner and group size."""
+def _met(docs: DataFrame, id_col: str, text_col: str, carried: list[str]) -> tuple[DataFrame, DataFrame]:
+    """All rows with their representative, and the owners of representatives whose length and hash occur again."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
@@ -184,15 +184,23 @@ def _owners(docs: DataFrame, id_col: str, text_col: str, carried: list[str]) ->
     schema = T.StructType(BATCH_SCHEMA.fields + ([T.StructField("payload", payload)] if carried else []))
     stored = materialise(rows.mapInArrow(returning(_first_round(payload)), schema), "exact-batches")
 
-    reps = stored.filter("copies is not null").select("row_id", "doc_id", "n_bytes", "hash", "copies")
+    reps = stored.filter("copies is not null")
     again = reps.groupBy("n_bytes", "hash").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    texts = stored.filter("copies is not null").select("row_id", "doc_id", "n_bytes", "hash", "text")
+    again = materialise(again, "exact-again")
+    texts = maybe_among(reps.select("row_id", "doc_id", "n_bytes", "hash", "text"), "hash", again.select("hash"))
     met = (
-        texts.join(again, ["n_bytes", "hash"], "left_semi")
+        texts.filter("_maybe").drop("_maybe").join(again, ["n_bytes", "hash"], "left_semi")
         .repartition("n_bytes", "hash")
         .sortWithinPartitions("n_bytes", "hash", "text", F.desc_nulls_last("doc_id"), F.desc("row_id"))
         .mapInArrow(_second_round, "rep_row long, owner_row long, owner_id long")
     )
+    return stored, met
+
+
+def _owners(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """All rows with their representative, and the representatives with owner and group size."""
+    stored, met = _met(docs, id_col, text_col, [])
+    reps = stored.filter("copies is not null")
     owned = (
         reps.select(F.col("row_id").alias("rep_row"), F.col("doc_id").alias("rep_id"), "copies")
         .join(met, "rep_row", "left")
@@ -215,7 +223,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     number; among repeated rows with the same identifier exactly one is kept. Texts may be of any
     length. An empty table gives an empty result; other columns are ignored.
     """
-    stored, owned = _owners(docs, id_col, text_col, [])
+    stored, owned = _owners(docs, id_col, text_col)
     members = stored.select("row_id", "rep_row", "doc_id", "text_sha")
     return members.join(owned.drop("copies"), "rep_row").select(
         "doc_id",
@@ -232,7 +240,9 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A kept row with a null text comes back with the empty text it counts as.
     """
     carried = [c for c in docs.columns if c != text_col]
-    stored, owned = _owners(docs, id_col, text_col, carried)
-    owners = owned.select(F.col("owner_row").alias("row_id")).distinct()
-    kept = stored.filter("copies is not null").join(owners, "row_id", "left_semi")
+    stored, met = _met(docs, id_col, text_col, carried)
+    # Of each batch's representatives those go that another one owns; the others' texts stay where they are.
+    gone = materialise(met.filter("owner_row <> rep_row").select(F.col("rep_row").alias("row_id")), "exact-gone")
+    reps = maybe_among(stored.filter("copies is not null").select("row_id", "text", *["payload"] * bool(carried)), "row_id", gone)
+    kept = reps.filter("NOT _maybe").unionByName(reps.filter("_maybe").join(gone, "row_id", "left_anti"))
     return kept.select(*[F.col("text").alias(c) if c == text_col else F.col("payload")[c].alias(c) for c in docs.columns])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import returning, texts_of
+from .common import maybe_among, returning, texts_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -384,8 +384,10 @@ def _classified(docs: DataFrame, similarity: float, trees: int, recall: float) -
     units = units.mapInArrow(returning(_find_units), "label long, block_a int, block_b int, side int, tree int, set_key binary")
     units = materialise(units, "near-units")
 
-    wanted = units.select("set_key").distinct().join(classes, "set_key")
-    texts = rows.join(wanted.filter("rep_id IS NOT NULL").withColumnRenamed("rep_id", "doc_id"), "doc_id").drop("doc_id")
+    wanted = materialise(units.select("set_key").distinct().join(classes, "set_key"), "near-wanted")
+    # Texts move only where their identifier may be wanted.
+    asked = maybe_among(rows, "doc_id", wanted.select("rep_id")).filter("_maybe").drop("_maybe")
+    texts = asked.join(wanted.filter("rep_id IS NOT NULL").withColumnRenamed("rep_id", "doc_id"), "doc_id").drop("doc_id")
     # Classes without any identifier bring their text along, one of their equal sets.
     nameless = wanted.filter("rep_id IS NULL").drop("rep_id")
     own = signed.filter("doc_id IS NULL").join(nameless, "set_key", "left_semi").groupBy("set_key").agg(F.first("unnumbered").alias("text"))
@@ -433,7 +435,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     found = materialise(_classified(docs, SIMILARITY, TREES, RECALL), "near-found")
     kept = found.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    numbered = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    # Identifiers of which no row goes stay without a shuffle of their texts.
+    going = found.filter(F.col("doc_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id")
+    told = maybe_among(docs, "doc_id", going)
+    numbered = told.filter("NOT _maybe AND doc_id IS NOT NULL").drop("_maybe")
+    numbered = numbered.unionByName(told.filter("_maybe").drop("_maybe").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi"))
     digest = lambda text: F.sha2(F.coalesce(text, F.lit("")), 256)
     nameless = found.filter("doc_id IS NULL AND class_id IS NULL").withColumn("_digest", digest(F.col("unnumbered")))
     least = nameless.filter("n_shingles > 0").groupBy("class_key").agg(F.min("_digest").alias("_kept")).select("_kept")

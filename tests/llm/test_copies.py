@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 from tailwise.llm import exact, near
+from tailwise.session import materialise
 
 
 def test_radix_trie_finds_equal_strings_only():
@@ -158,3 +159,54 @@ def test_near_rows_without_identifier_are_linked(spark):
     )
     kept = sorted((str(r.doc_id), r.text[:2]) for r in near.one_of_each(docs).collect())
     assert kept == [("1", "w0"), ("7", "sh"), ("None", ""), ("None", "v0")]
+
+
+def test_keys_that_are_surely_not_among_others(spark):
+    from tailwise.llm.common import maybe_among
+
+    rows = spark.range(3000).selectExpr("if(id = 7, null, id) as k", "id as n")
+    members = spark.range(0, 3000, 3).selectExpr("if(id = 6, null, id) as m")
+    got = {r.n: r._maybe for r in maybe_among(rows, "k", members).collect()}
+    assert len(got) == 3000 and not got[7]
+    assert all(got[n] for n in range(0, 3000, 3) if n != 6)
+    assert sum(got.values()) < 1300
+    assert not any(r._maybe for r in maybe_among(rows, "k", members.limit(0)).collect())
+
+
+def shuffled_rows(df):
+    """Rows of each shuffle of an executed plan that carry a text."""
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+            name = node.nodeName()
+        if "QueryStage" in name:
+            todo.append(node.plan())
+            continue
+        if name == "Exchange" and "text" in [a.name() for a in iterated(node.output())]:
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        todo += list(iterated(node.children()))
+    return found
+
+
+def iterated(sequence):
+    return [sequence.apply(n) for n in range(sequence.size())]
+
+
+@pytest.mark.parametrize("run", [exact.without_duplicates, near.one_of_each])
+def test_texts_that_stay_are_not_shuffled(spark, run):
+    """Fifty copies or near copies among 2000 texts: the others stay where they are."""
+    draw = random.Random(5)
+    rows = [(n, " ".join(f"w{draw.randrange(5000)}" for _ in range(40)) + f" {n}") for n in range(1950)]
+    edit = (lambda text: text) if run is exact.without_duplicates else (lambda text: text.upper() + " x")
+    rows += [(1950 + n, edit(text)) for n, text in rows[:50]]
+    df = materialise(spark.createDataFrame(rows, "doc_id long, text string"), "texts")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = run(df)
+        assert len(kept.collect()) == 1950
+        assert shuffled_rows(kept) < 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
