@@ -71,7 +71,8 @@ class TriangleStore:
 
     def _attributed(self, days: DataFrame, claims: DataFrame) -> DataFrame:
         """Days with the claim attributes that decide their part; unknown claims leave them NULL."""
-        known = claims.select("claim_id", "loss_date", *self.segments)
+        # Claims are as many as the days; their files, far smaller than their rows, make Spark broadcast them.
+        known = claims.select("claim_id", "loss_date", *self.segments).hint("merge")
         bare = days.select("claim_id", "payment_date", "payment_amount", "batch")
         return bare.join(known, "claim_id", "left").withColumn("part", self._part())
 

@@ -1,5 +1,6 @@
 """Streams that keep tables: expectations, claim versions, cells by touched part."""
 
+import datetime as dt
 import os
 import random
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tailwise import schemas
 from tailwise.operators import triangle
+from tailwise.session import fresh_path
 from tailwise.sources.files import expectations
 from tailwise.streaming import expectations as judged
 from tailwise.streaming import ingest
@@ -232,3 +234,14 @@ def test_empty_and_odd_batches(spark, tmp_path):
     assert [r.cumulative_value for r in store.cells().collect()] == [4.0]
     store.apply_claims(claims_of(spark, [("A", "Fire", "2017-01-01", "2020-01-02")]), 2)
     assert sorted((r.origin_period, r.development_period, r.cumulative_value) for r in store.cells().collect()) == [(2017, 0, 8.0), (2017, 1, 12.0)]
+
+
+def test_claims_are_not_broadcast_to_their_days(spark):
+    """Files of claims are far smaller than their rows, so Spark would send all of them to every task."""
+    store = TriangleStore(spark, fresh_path(spark, "store"))
+    days = spark.createDataFrame([("1", dt.date(2001, 2, 1), 5.0, 0)], "claim_id string, payment_date date, payment_amount double, batch long")
+    claims = spark.createDataFrame([("1", dt.date(2001, 1, 1), "Fire")], "claim_id string, loss_date date, loss_type string")
+    joined = store._attributed(days, claims)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [r.part for r in joined.collect()] == ["Fire|2001"]
