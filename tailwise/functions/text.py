@@ -1,7 +1,7 @@
 """Whole-word matching as native expressions: no Python worker sees the text.
 
-A vocabulary is matched in one pass: a single regular expression collects the vocabulary's words
-that occur in the text (usually none or a few), and everything else works on that short list.
+A vocabulary is matched in one pass: the words of the text that are words of the vocabulary are
+collected (usually none or a few), and everything else works on that short list.
 Keywords of several words are confirmed on the text only if all their words occur.
 """
 
@@ -16,10 +16,8 @@ from pyspark.sql import functions as F
 
 from .vocabulary import Term
 
-# A word boundary that treats accented letters as letters.
-_WORD_CHAR = r"[\p{L}\p{N}_]"
-_BEFORE = f"(?<!{_WORD_CHAR})"
-_AFTER = f"(?!{_WORD_CHAR})"
+# A word boundary that treats accented letters as letters; the plain ones are looked at first.
+_WORD_CHAR = r"[\w[\p{L}\p{N}]]"
 
 
 def words_in(keyword: str) -> list[str]:
@@ -27,23 +25,23 @@ def words_in(keyword: str) -> list[str]:
     return re.findall(r"\w+", keyword.lower())
 
 
-def _any_word_pattern(words: Iterable[str]) -> str:
-    """One pattern for a set of words, branching on the first letter."""
-    ordered = sorted(set(words))
-    branches = []
-    for letter, group in groupby(ordered, key=lambda w: w[0]):
-        rests = "|".join(re.escape(w[1:]) for w in group)
-        branches.append(f"{re.escape(letter)}(?:{rests})")
-    initials = "".join(re.escape(c) for c in sorted({w[0] for w in ordered}))
-    return f"(?=[{initials}]){_BEFORE}(?:{'|'.join(branches)}){_AFTER}"
+def _whole(keyword: str) -> str:
+    """Pattern for a keyword between boundaries; it begins with the plain text, which is searched fastest."""
+    plain = re.escape(keyword)
+    return f"{plain}(?<!{_WORD_CHAR}{plain})(?!{_WORD_CHAR})"
 
 
 def words_present(lowered: Column, keywords: Iterable[str]) -> Column:
-    """Array of the words of ``keywords`` that occur in the lower-cased text, in text order."""
-    words = [w for keyword in keywords for w in words_in(keyword.lower())]
+    """Array of the words of ``keywords`` that occur in the lower-cased text, in text order.
+
+    The text is cut into words once and each is looked up in a set: the time does not depend on the vocabulary.
+    """
+    words = sorted({w for keyword in keywords for w in words_in(keyword.lower())})
     if not words:
         return F.array().cast("array<string>")
-    return F.regexp_extract_all(lowered, F.lit(_any_word_pattern(words)), F.lit(0))
+    shortest = min(map(len, words))
+    written = F.regexp_extract_all(lowered, F.lit(f"{_WORD_CHAR}{{{shortest},}}+"), F.lit(0))
+    return F.filter(written, lambda word: word.isin(words))
 
 
 def phrases_present(lowered: Column, present: Column, keywords: Iterable[str]) -> Column:
@@ -55,7 +53,7 @@ def phrases_present(lowered: Column, present: Column, keywords: Iterable[str]) -
             if keyword != keyword.lower():
                 confirmed.append(F.when(F.array_contains(present, keyword.lower()), F.lit(keyword)))
             continue
-        test = lowered.rlike(_BEFORE + re.escape(keyword.lower()) + _AFTER)
+        test = lowered.rlike(_whole(keyword.lower()))
         for word in words:
             test = F.array_contains(present, word) & test
         confirmed.append(F.when(test, F.lit(keyword)))
@@ -80,10 +78,11 @@ def with_results(df: DataFrame, results: Mapping[str, Column]) -> DataFrame:
 
     Spark copies an expression into every filter it pushes below it, but does not push filters
     below a generator's output: a later filter on a score reads the score instead of searching the
-    text again.
+    text again. The results are computed in a projection before it: its code is split into methods
+    small enough to be compiled, a generator's is not.
     """
     row = F.struct(*[value.alias(name) for name, value in results.items()])
-    return df.select("*", F.inline(F.array(row)))
+    return df.withColumn("_results", row).select(*df.columns, F.inline(F.array("_results")))
 
 
 def listed(keywords: Iterable[str], found: Column) -> Column:

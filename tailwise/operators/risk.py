@@ -142,25 +142,32 @@ def entity_names(entities: Column) -> Column:
     return F.array_compact(F.array(*names))
 
 
+def has_text() -> Column:
+    """Whether a claim has notes or a description."""
+    return F.col("adjuster_notes").isNotNull() | F.col("loss_description").isNotNull()
+
+
 def classify_claims(
     claims: DataFrame,
     label: Classifier = rule_label,
     sentiment: Classifier = rule_sentiment,
     entities: Classifier = rule_entities,
     method: str = "rules",
+    textless: bool = False,
 ) -> DataFrame:
     """Label, entities and sentiment of each claim's whole text, with score and flag derived.
 
     The built-in classifiers are word rules; a model plugs in as a pandas UDF on the text with the
-    same signature. Claims with neither notes nor description are left out.
+    same signature. Claims with neither notes nor description are left out, unless ``textless`` keeps
+    them (judged as an empty text); :func:`has_text` tells them apart.
     """
     notes, description = F.col("adjuster_notes"), F.col("loss_description")
     blank = F.lit("")
     text = F.concat_ws(" | ", F.coalesce(notes, blank), F.coalesce(description, blank))
     found = F.col("_found")
-    with_text = claims.filter(notes.isNotNull() | description.isNotNull())
+    judged = claims if textless else claims.filter(has_text())
     analysed = words.with_results(
-        words.with_keywords_found(with_text, text, _RULE_WORDS),
+        words.with_keywords_found(judged, text, _RULE_WORDS),
         {
             "risk_category": label(text, found),
             "extracted_risks": entities(text, found),

@@ -2,7 +2,8 @@
 
 Two intermediate tables feed many others and cost a pass over the raw data each: the cells per
 loss type and the claims with payments. :func:`build_tables` writes those two once to the shared
-folder and derives the rest from the written copies.
+folder and derives the rest from the written copies. The claims are written with their classification,
+in one pass over the texts.
 """
 
 from __future__ import annotations
@@ -50,9 +51,10 @@ def build_tables(
         ),
         "cells",
     )
-    with_payments = materialise(
-        claim_ops.enrich_claims(claims, days, scale=scale), "claims-with-payments"
-    )
+    enriched = claim_ops.enrich_claims(claims, days, scale=scale)
+    judged = materialise(risk.classify_claims(enriched, textless=True), "claims-classified")
+    with_payments = judged.select(*enriched.columns)
+    classified = judged.filter(risk.has_text())
 
     pooled = pool_cells(by_type)
     tables["triangle_base"] = triangle.triangle_base(payments, claims, as_of=as_of)
@@ -65,7 +67,6 @@ def build_tables(
     tables["risk_summary_basic"] = risk.risk_summary(
         tables["claims_basic_risk"], flag="high_risk_flag_sql", detail="indicator"
     )
-    classified = materialise(risk.classify_claims(with_payments), "claims-classified")
     tables["claims_classified"] = classified
     tables["risk_summary"] = risk.risk_summary(classified, detail="classified")
     tables["risk_entities"] = risk.risk_entity_breakdown(classified, as_of)
