@@ -34,7 +34,7 @@ def _whole(keyword: str) -> str:
 def words_present(lowered: Column, keywords: Iterable[str]) -> Column:
     """Array of the words of ``keywords`` that occur in the lower-cased text, in text order.
 
-    The text is cut into words once and each is looked up in a set: the time does not depend on the vocabulary.
+    The text is cut into words once and each is looked up among those wanted.
     """
     words = sorted({w for keyword in keywords for w in words_in(keyword.lower())})
     if not words:
@@ -78,8 +78,7 @@ def with_results(df: DataFrame, results: Mapping[str, Column]) -> DataFrame:
 
     Spark copies an expression into every filter it pushes below it, but does not push filters
     below a generator's output: a later filter on a score reads the score instead of searching the
-    text again. The results are computed in a projection before it: its code is split into methods
-    small enough to be compiled, a generator's is not.
+    text again. The results are computed in a projection before it, so the generator only unpacks them.
     """
     row = F.struct(*[value.alias(name) for name, value in results.items()])
     return df.withColumn("_results", row).select(*df.columns, F.inline(F.array("_results")))
