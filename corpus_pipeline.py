@@ -18,7 +18,7 @@ from tailwise.session import materialise
 # language that was learned. Other passages and the number of languages do not change a passage's scores.
 LEAST_PASSAGE_SCORE = -0.3
 
-# Encoding and decoding run in two workers a task, each with several batches and the numbers of their texts.
+# A worker that encodes or decodes holds several batches and the numbers of their texts.
 TOKEN_BATCHES = "6m"
 
 # SQL cannot train the language classifier of the first stage.
@@ -63,7 +63,10 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     # The text goes through once; its digest tells whether it came back.
     rows = docs.select("doc_id", "lang", "source", "n_chars", _digest(text).alias("digest"), text.alias("text"))
-    done = bpe.decode(bpe.encode(rows, vocabulary), vocabulary)
+    # Both maps in one job take two workers a task. Spark keeps them for all later stages, and in turn each
+    # comes to hold the tables of both maps; with the numbers written between the maps one worker a task is enough.
+    encoded = materialise(bpe.encode(rows, vocabulary), "tokens-encoded")
+    done = bpe.decode(encoded, vocabulary)
     return done.select(
         "doc_id", "lang", "source", "n_chars", bpe.n_tokens(F.col("ids")).alias("n_tokens"), "ids", (_digest(F.col("decoded")) == F.col("digest")).alias("round_trip")
     )

@@ -1,6 +1,7 @@
 import corpus_pipeline
 import pytest
-from tailwise.llm import exact, near
+from tailwise.llm import bpe, exact, near
+from tailwise.llm.queries import vocabulary_path
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +53,29 @@ def test_tokens_decode(staged):
     assert after.count() == before.count() and after.filter("not round_trip").count() == 0
 
 
+def test_tokens_take_one_worker_a_task(spark, sf, odd_documents, monkeypatch):
+    plans, write = [], corpus_pipeline.materialise
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(corpus_pipeline, "materialise", written)
+    done = corpus_pipeline.tokenised(spark, odd_documents, sf)
+    plans.append(done._jdf.queryExecution().executedPlan().toString())
+    assert [plan.count("MapInArrow") for plan in plans] == [1, 1]
+
+
+def test_tokens_of_odd_rows(spark, sf, odd_documents):
+    vocabulary = bpe.read_vocabulary(vocabulary_path())
+    ids = ["doc_id", "lang", "source", "n_chars", "ids"]
+    done = corpus_pipeline.tokenised(spark, odd_documents, sf)
+    assert done.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "round_trip"]
+    got = [tuple(r) for r in done.select(ids).collect()]
+    assert sorted(got, key=repr) == sorted((tuple(r) for r in bpe.encode(odd_documents, vocabulary).select(ids).collect()), key=repr)
+    assert done.filter("round_trip AND n_tokens = octet_length(ids) / 4").count() == len(got) == odd_documents.count()
+
+
 def test_run_gives_the_last_stage(spark, sf, staged):
     columns = ["doc_id", "n_tokens", "n_chars"]
     got = sorted(map(tuple, corpus_pipeline.run(spark, sf).select(columns).collect()))
