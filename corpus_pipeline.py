@@ -63,8 +63,8 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     # The text goes through once; its digest tells whether it came back.
     rows = docs.select("doc_id", "lang", "source", "n_chars", _digest(text).alias("digest"), text.alias("text"))
-    # Both maps in one job take two workers a task. Spark keeps them for all later stages, and in turn each
-    # comes to hold the tables of both maps; with the numbers written between the maps one worker a task is enough.
+    # Both maps in one job take two workers a task, which Spark keeps for later stages while it is busy; with
+    # the numbers written between the maps one worker a task is enough.
     encoded = materialise(bpe.encode(rows, vocabulary), "tokens-encoded")
     done = bpe.decode(encoded, vocabulary)
     return done.select(
